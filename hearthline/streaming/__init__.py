@@ -1,0 +1 @@
+"""Empty on purpose: none of the operators in scope works on streams."""
