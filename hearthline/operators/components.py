@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .skew import find_hot_keys, join_values
+from . import skew
+from .skew import HotKeys, find_hot_keys, join_values, parts_of
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -19,25 +20,30 @@ def _nearest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     """Every larger neighbour of a node is attached to the node's smallest neighbour or itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # Only nodes with a smaller neighbour move anything; the others keep their edges.
     low = _nearest(both).filter("m < u")
-    return _attach(both.filter("v > u"), low).select(
+    return _attach(both.filter("v > u"), low, rows).select(
         F.col("v").alias("u"), F.coalesce("m", "u").alias("v")
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     """Smaller neighbours and the node itself are attached to the smallest of them."""
     low = _nearest(edges)
-    moved = _attach(edges, low).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(low.select("u", F.col("m").alias("v")))
+    moved = _attach(edges, low, rows).filter("v != m")
+    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        low.select("u", F.col("m").alias("v"))
+    )
 
 
-def _attach(edges: DataFrame, low: DataFrame) -> DataFrame:
-    return join_values(edges, low, ["u"], "left", find_hot_keys(edges, ["u"]), null_safe=False)
+def _attach(edges: DataFrame, low: DataFrame, rows: int) -> DataFrame:
+    """``m`` of each edge's ``u``; with few edges in all no node can be hot."""
+    few = rows < skew.MIN_HOT_ROWS
+    hot = HotKeys(("u",), parts_of(edges)) if few else find_hot_keys(edges, ["u"])
+    return join_values(edges, low, ["u"], "left", hot, null_safe=False)
 
 
 def _print_of(edges: DataFrame) -> tuple:
@@ -62,7 +68,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     )
     seen = _print_of(current)
     for _ in range(max_rounds):
-        current = materialise(_small_star(_large_star(current).distinct()).distinct())
+        rows = seen[0]
+        larger = _large_star(current, rows).distinct()
+        current = materialise(_small_star(larger, rows).distinct())
         now = _print_of(current)
         if now == seen:
             break

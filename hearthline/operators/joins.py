@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .skew import HotKeys, find_hot_keys, join_values
 
+KEY = "__key"
+
 
 def merge_on(
     left: DataFrame,
@@ -19,27 +21,37 @@ def merge_on(
     """Left or right join on one key per side, nulls matching nulls.
 
     Other columns of the same name get ``_x`` and ``_y``. The right key's column is dropped
-    when its name differs; a right join takes the right side's key value where it keeps one.
-    Hot keys of the preserved side are salted.
+    when its name differs, so after a right join it is null for rows only the right side has;
+    a key of one name keeps its value. ``hot`` are the left side's hot keys, which are salted.
     """
     same_key = left_key == right_key
     clash = (set(left.columns) & set(right.columns)) - ({left_key} if same_key else set())
-    left = left.withColumnsRenamed({c: f"{c}_x" for c in clash})
-    right = right.withColumnsRenamed({c: f"{c}_y" for c in clash})
+    if hot is None:
+        hot = find_hot_keys(left, [left_key])
+    hot = hot.on(KEY)
     lk = f"{left_key}_x" if left_key in clash else left_key
     rk = f"{right_key}_y" if right_key in clash else right_key
-    many, few = (left, right) if how == "left" else (right, left)
-    many_key, few_key = (lk, rk) if how == "left" else (rk, lk)
-    keyed_many = many.withColumn("__key", F.col(many_key))
-    keyed_few = few.withColumn("__key", F.col(few_key))
-    if hot is None:
-        hot = find_hot_keys(keyed_many, ["__key"])
-    joined = join_values(keyed_many, keyed_few.drop(few_key) if same_key else keyed_few,
-                         ["__key"], "left", hot)
-    columns = [c for c in left.columns if not (same_key and c == lk)]
-    if same_key:
-        columns = [lk, *columns]
-    columns += [c for c in right.columns if c != rk]
-    if same_key:
-        joined = joined.withColumn(lk, F.col("__key"))
-    return joined.select(*columns)
+    keyed_left = left.withColumnsRenamed({c: f"{c}_x" for c in clash}).withColumn(KEY, F.col(lk))
+    keyed_right = right.withColumnsRenamed({c: f"{c}_y" for c in clash})
+    keyed_right = keyed_right.withColumnRenamed(rk, KEY)
+    rest = [c for c in keyed_right.columns if c != KEY]
+    if how == "left":
+        joined = join_values(keyed_left, keyed_right, [KEY], "left", hot)
+    else:
+        joined = _right_join(keyed_left, keyed_right, hot)
+        if same_key:
+            joined = joined.withColumn(lk, F.col(KEY))
+    return joined.select(*[c for c in keyed_left.columns if c != KEY], *rest)
+
+
+def _right_join(left: DataFrame, right: DataFrame, hot: HotKeys) -> DataFrame:
+    if not hot:
+        on = F.col(f"l.{KEY}").eqNullSafe(F.col(f"r.{KEY}"))
+        kept = [f"l.{c}" for c in left.columns if c != KEY]
+        joined = left.alias("l").join(right.alias("r"), on, "right")
+        return joined.select(*kept, *[f"r.{c}" for c in right.columns])
+    # The left side's hot rows are dealt over pieces; the right rows without a partner follow.
+    matched = join_values(left, right, [KEY], "inner", hot)
+    partners = left.select(KEY).distinct()
+    alone = join_values(right, partners, [KEY], "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)

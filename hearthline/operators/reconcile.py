@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import HotKeys, find_hot_keys, join_values, with_group_values
+from .skew import HotKeys, join_values, with_group_values
 
 MAX_GAP_DAYS = 365
 EARLIEST_DOB = "1900-01-01"
@@ -98,7 +98,6 @@ def null_impossible_dob(
         .groupBy(F.col(enrollment_person).alias(person))
         .agg(F.min(entry).alias("__first"))
     )
-    hot = find_hot_keys(clients, [person]) if hot is None else hot
     joined = join_values(clients, first, [person], "left", hot, null_safe=False)
     late = F.coalesce(F.col(dob) > F.col("__first"), F.lit(False))
     early = F.coalesce(F.col(dob) < F.lit(EARLIEST_DOB).cast("date"), F.lit(False))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 MAX_PARTS = 1024
+# A key with fewer rows than this never needs splitting, whatever its share.
+MIN_HOT_ROWS = 10_000
 SALT = "__salt"
 RANGE = "__range"
 
@@ -44,22 +46,45 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.hashes)
 
+    def on(self, *keys: str) -> HotKeys:
+        """The same key values under other column names of the same types."""
+        return HotKeys(keys, self.parts, self.hashes)
+
     def holds(self) -> Column:
         return F.xxhash64(*[F.col(k) for k in self.keys]).isin(list(self.hashes))
 
 
 def find_hot_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> HotKeys:
     """One pass over the key columns with a frequent-items sketch; returns at most ``parts``."""
+    return find_hot_key_sets(df, [keys], parts)[0]
+
+
+def find_hot_key_sets(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], parts: int | None = None
+) -> list[HotKeys]:
+    """The hot keys of several key sets, still in one pass."""
     parts = parts or parts_of(df)
     tracked = min(1_000_000, 64 * parts)
-    keyed = df.select(F.xxhash64(*[F.col(k) for k in keys]).alias("h"))
-    top = keyed.agg(
-        F.expr(f"approx_top_k(h, {parts}, {tracked})").alias("top"), F.count("*").alias("n")
-    ).first()
-    hashes = tuple(
-        entry["item"] for entry in (top["top"] or []) if entry["count"] * parts > top["n"]
+    hashed = df.select(
+        *[F.xxhash64(*[F.col(k) for k in ks]).alias(f"h{i}") for i, ks in enumerate(key_sets)]
     )
-    return HotKeys(tuple(keys), parts, hashes)
+    sketches = [
+        F.expr(f"approx_top_k(h{i}, {parts}, {tracked})").alias(f"h{i}")
+        for i in range(len(key_sets))
+    ]
+    top = hashed.agg(*sketches, F.count("*").alias("n")).first()
+    return [
+        HotKeys(
+            tuple(keys),
+            parts,
+            tuple(
+                e["item"]
+                for e in (top[f"h{i}"] or [])
+                if e["count"] * parts > top["n"] and e["count"] >= MIN_HOT_ROWS
+            ),
+        )
+        for i, keys in enumerate(key_sets)
+    ]
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:

@@ -89,9 +89,8 @@ def covered_days(
     ready = df.withColumn("__end", F.when(known, F.col(end)))
     wide = OrderedGroups(ready, keys, [start, order], hot).max_before({"__seen": "__end"})
     fresh = F.greatest(F.lit(0), F.datediff("__end", F.greatest(F.col(start), F.col("__seen"))))
-    wide = wide.withColumn("__fresh", F.when(F.col("__end").isNotNull(), fresh))
-    total = F.coalesce(F.sum("__fresh"), F.lit(0)).cast("bigint")
-    out = with_group_values(wide, keys, {name: total}, hot)
+    wide = wide.withColumn("__fresh", F.when(F.col("__end").isNotNull(), fresh).otherwise(F.lit(0)))
+    out = with_group_values(wide, keys, {name: F.sum("__fresh")}, hot)
     return out.drop("__end", "__seen", "__fresh")
 
 

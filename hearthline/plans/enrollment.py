@@ -15,7 +15,8 @@ from ..operators.dedup import keep_last
 from ..operators.joins import merge_on
 from ..operators.lookup import merge_destination, merge_project_type
 from ..operators.reconcile import null_impossible_dob, resolve_person_values
-from ..operators.skew import with_group_values
+from ..operators.skew import HotKeys, find_hot_key_sets, find_hot_keys, with_group_values
+from ..session import materialise
 from ..sources.codes import DISABILITY_TYPES, PROJECT_TYPES
 from ..sources.hmis import DEFAULT_FILES, DEFAULT_SPECS
 from ..sources.spec import STAGE_KEYS, TableSpec, code_map
@@ -182,14 +183,17 @@ def get_project(source: Extracts, types: Mapping | str = PROJECT_TYPES) -> DataF
     return merge_project_type(df, column, code_map(types))
 
 
-def settle_dob(source: Extracts, clients: DataFrame, enrollments: DataFrame) -> DataFrame:
+def settle_dob(
+    source: Extracts, clients: DataFrame, enrollments: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """Null impossible dates of birth, reconcile the others, deduplicate."""
     spec, enrol = source.spec("client"), source.spec("enrollment")
     person, dob = spec.role("person_ID"), spec.role("dob_column")
+    hot = find_hot_keys(clients, [person]) if hot is None else hot
     df = null_impossible_dob(
-        clients, person, dob, enrollments, enrol.role("person_ID"), enrol.role("entry_date")
+        clients, person, dob, enrollments, enrol.role("person_ID"), enrol.role("entry_date"), hot
     )
-    df = resolve_person_values(df, person, times=[dob])
+    df = resolve_person_values(df, person, times=[dob], hot=hot)
     return keep_last(df.drop("__bad_dob"), spec.duplicate_check_columns, [ORD])
 
 
@@ -202,12 +206,19 @@ def merge_tables(
     stay. The other tables are left-joined; tables with several rows per enrolment multiply it.
     """
     enrol = source.spec("enrollment")
-    enrolment, person = enrol.role("person_enrollment_ID"), enrol.role("person_ID")
-    df = enrollment_table(source, groups).drop(ORD)
-    enrollments = df
-    df = merge_on(df, get_exit(source), enrolment, source.spec("exit").role("person_enrollment_ID"))
-    clients = settle_dob(source, client_table(source, name_exclusion), enrollments).drop(ORD)
-    df = merge_on(df, clients, person, source.spec("client").role("person_ID"), "right")
+    enrolment, person, program = (
+        enrol.role(k) for k in ("person_enrollment_ID", "person_ID", "program_ID")
+    )
+    # Both tables are read several times below, so each is cleaned once and fixed.
+    enrollments = materialise(enrollment_table(source, groups).drop(ORD))
+    clients = materialise(client_table(source, name_exclusion))
+    hot_enrolment, hot_person, hot_program = find_hot_key_sets(
+        enrollments, [[enrolment], [person], [program]]
+    )
+    exits = source.spec("exit").role("person_enrollment_ID")
+    df = merge_on(enrollments, get_exit(source), enrolment, exits, hot=hot_enrolment)
+    settled = settle_dob(source, clients, enrollments).drop(ORD)
+    df = merge_on(df, settled, person, source.spec("client").role("person_ID"), "right", hot_person)
     for table, read in (
         ("disabilities", get_disabilities),
         ("employment_education", get_employment_education),
@@ -215,9 +226,9 @@ def merge_tables(
         ("income", get_income),
     ):
         key = source.spec(table).role("person_enrollment_ID")
-        df = merge_on(df, read(source), enrolment, key)
-    program = source.spec("project").role("program_ID")
-    return merge_on(df, get_project(source), enrol.role("program_ID"), program)
+        df = merge_on(df, read(source), enrolment, key, hot=hot_enrolment)
+    projects = source.spec("project").role("program_ID")
+    return merge_on(df, get_project(source), program, projects, hot=hot_program)
 
 
 def stage_counts(

@@ -93,8 +93,8 @@ def scan_folders(
 
 
 def _null_text(name: str, null_texts: Sequence[str]) -> Column:
-    column = F.col(f"`{name}`")
-    return F.when(~column.isin(list(null_texts)), column).alias(name)
+    listed = ", ".join(f"'{t}'" for t in null_texts)
+    return F.expr(f"CASE WHEN `{name}` NOT IN ({listed}) THEN `{name}` END").alias(name)
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
