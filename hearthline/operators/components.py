@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from . import skew
-from .skew import HotKeys, find_hot_keys, join_values, parts_of
+from .skew import find_hot_keys, join_values, no_hot_keys
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def _small_star(edges: DataFrame, rows: int) -> DataFrame:
 def _attach(edges: DataFrame, low: DataFrame, rows: int) -> DataFrame:
     """``m`` of each edge's ``u``; with few edges in all no node can be hot."""
     few = rows < skew.MIN_HOT_ROWS
-    hot = HotKeys(("u",), parts_of(edges)) if few else find_hot_keys(edges, ["u"])
+    hot = no_hot_keys(edges, ["u"]) if few else find_hot_keys(edges, ["u"])
     return join_values(edges, low, ["u"], "left", hot, null_safe=False)
 
 

@@ -54,6 +54,11 @@ class HotKeys:
         return F.xxhash64(*[F.col(k) for k in self.keys]).isin(list(self.hashes))
 
 
+def no_hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    """For data known to be too small to have hot keys."""
+    return HotKeys(tuple(keys), parts_of(df))
+
+
 def find_hot_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> HotKeys:
     """One pass over the key columns with a frequent-items sketch; returns at most ``parts``."""
     return find_hot_key_sets(df, [keys], parts)[0]
