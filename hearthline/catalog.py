@@ -441,7 +441,7 @@ def resolve_code(spark, folder):
 
 @register(
     "dob_sanity",
-    """WITH c AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) - CAST(o_totalprice // 100 AS INTEGER) AS dob
+    """WITH c AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) - CAST(floor(o_totalprice / 100) AS INTEGER) AS dob
             FROM orders),
         f AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS first FROM orders
             WHERE o_orderstatus = 'F' GROUP BY o_custkey),
@@ -628,7 +628,7 @@ def time_co_occurrence(spark, folder):
     components_sql(
         "SELECT DISTINCT o_custkey AS node FROM orders",
         """SELECT o_custkey AS u, min(o_custkey) OVER (
-            PARTITION BY CAST(o_orderdate AS DATE), CAST(o_totalprice // 1000 AS BIGINT)) AS v FROM orders""",
+            PARTITION BY CAST(o_orderdate AS DATE), CAST(floor(o_totalprice / 1000) AS BIGINT)) AS v FROM orders""",
     )
     + """ SELECT o_orderkey, o_custkey, dense_rank() OVER (ORDER BY first) AS cluster
     FROM (SELECT o_orderkey, o_custkey, min(o_orderkey) OVER (PARTITION BY root) AS first

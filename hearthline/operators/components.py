@@ -12,38 +12,30 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from . import skew
-from .skew import find_hot_keys, join_values, no_hot_keys
+from .skew import find_hot_keys, no_hot_keys, with_group_values
 
 
-def _nearest(edges: DataFrame) -> DataFrame:
-    """The smallest neighbour of each ``u``, combined map-side."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _with_smallest(edges: DataFrame, rows: int) -> DataFrame:
+    """Add ``m``, the smallest neighbour of each ``u``; with few edges in all no node is hot."""
+    few = rows < skew.MIN_HOT_ROWS
+    hot = no_hot_keys(edges, ["u"]) if few else find_hot_keys(edges, ["u"])
+    return with_group_values(edges, ["u"], {"m": F.min("v")}, hot)
 
 
 def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     """Every larger neighbour of a node is attached to the node's smallest neighbour or itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    # Only nodes with a smaller neighbour move anything; the others keep their edges.
-    low = _nearest(both).filter("m < u")
-    return _attach(both.filter("v > u"), low, rows).select(
-        F.col("v").alias("u"), F.coalesce("m", "u").alias("v")
+    return (
+        _with_smallest(both, 2 * rows)
+        .filter("v > u")
+        .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
     )
 
 
 def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     """Smaller neighbours and the node itself are attached to the smallest of them."""
-    low = _nearest(edges)
-    moved = _attach(edges, low, rows).filter("v != m")
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-        low.select("u", F.col("m").alias("v"))
-    )
-
-
-def _attach(edges: DataFrame, low: DataFrame, rows: int) -> DataFrame:
-    """``m`` of each edge's ``u``; with few edges in all no node can be hot."""
-    few = rows < skew.MIN_HOT_ROWS
-    hot = no_hot_keys(edges, ["u"]) if few else find_hot_keys(edges, ["u"])
-    return join_values(edges, low, ["u"], "left", hot, null_safe=False)
+    ends = F.explode(F.array("u", "v")).alias("u")
+    return _with_smallest(edges, rows).select(ends, F.col("m").alias("v")).filter("u != v")
 
 
 def _print_of(edges: DataFrame) -> tuple:
@@ -69,8 +61,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     seen = _print_of(current)
     for _ in range(max_rounds):
         rows = seen[0]
-        larger = _large_star(current, rows).distinct()
-        current = materialise(_small_star(larger, rows).distinct())
+        current = materialise(_small_star(_large_star(current, rows), rows).distinct())
         now = _print_of(current)
         if now == seen:
             break
