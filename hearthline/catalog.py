@@ -28,7 +28,9 @@ from .operators.identity import (
     with_sequential_id,
 )
 from .operators.joins import merge_on
-from .plans.enrollment import count_stages, group_rows
+from .plans.agencies import merge_agencies, prelink
+from .plans.enrollment import Extracts, count_stages, group_rows, merge_tables
+from .plans.housing import housing_table
 from .session import scratch_path
 from .sources.codes import DESTINATIONS, PROJECT_TYPES
 from .sources.tables import read_table
@@ -856,3 +858,154 @@ def interval_union(spark, folder):
 )
 def spell_history(spark, folder):
     return spells.spell_history(spell_rows(spark, folder), "o_orderkey")
+
+
+# ---------------------------------------------------------------- whole jobs
+
+STAGE_SPEC = {
+    "person_enrollment_ID": "eid", "collection_stage_column": "stage", "entry_stage_val": 1,
+    "exit_stage_val": 3, "update_stage_val": 2, "annual_assessment_stage_val": 5,
+    "post_exit_stage_val": 6,
+}
+RAW_SPECS = {
+    "enrollment": {
+        "person_enrollment_ID": "eid", "person_ID": "pid", "program_ID": "program",
+        "groupID_column": "household", "entry_date": "entry", "time_var": ["entry"],
+        "categorical_var": ["residence"], "duplicate_check_columns": ["eid", "pid"],
+        "types": {"eid": "bigint", "pid": "bigint", "program": "bigint", "residence": "bigint", "entry": "date"},
+    },
+    "exit": {
+        "person_enrollment_ID": "eid", "destination_column": "dest", "duplicate_check_columns": ["eid"],
+        "categorical_var": ["dest"], "time_var": ["left_on"],
+        "types": {"eid": "bigint", "dest": "bigint", "left_on": "date"},
+    },
+    "client": {
+        "person_ID": "person", "dob_column": "dob", "time_var": ["dob"], "boolean": ["veteran"],
+        "numeric_code": ["gender"], "categorical_var": ["gender", "veteran"],
+        "duplicate_check_columns": ["person", "dob", "veteran", "gender"],
+        "types": {"person": "bigint", "dob": "date", "veteran": "bigint", "gender": "bigint"},
+    },
+    "disabilities": {
+        **STAGE_SPEC, "type_column": "kind", "response_column": "answer", "categorical_var": ["answer"],
+        "duplicate_check_columns": ["eid", "stage", "kind"],
+        "types": {"eid": "bigint", "stage": "bigint", "kind": "bigint", "answer": "bigint"},
+    },
+    "employment_education": {
+        **STAGE_SPEC, "categorical_var": ["employed"], "duplicate_check_columns": ["eid", "stage"],
+        "types": {"eid": "bigint", "stage": "bigint", "employed": "bigint"},
+    },
+    "health_dv": {
+        **STAGE_SPEC, "categorical_var": ["health"], "duplicate_check_columns": ["eid", "stage"],
+        "types": {"eid": "bigint", "stage": "bigint", "health": "bigint"},
+    },
+    "income": {
+        **STAGE_SPEC, "categorical_var": ["source"], "columns_to_take_max": ["source", "amount"],
+        "duplicate_check_columns": ["eid", "stage", "source", "amount"],
+        "types": {"eid": "bigint", "stage": "bigint", "source": "bigint", "amount": "double"},
+    },
+    "project": {
+        "program_ID": "program", "project_type_column": "kind", "duplicate_check_columns": ["program", "kind"],
+        "types": {"program": "bigint", "kind": "bigint"},
+    },
+}
+
+# The raw tables as SQL both engines read; folder F2 is the one loaded first.
+STAGE_OF = "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 3 ELSE 2 END"
+RAW_SQL = {
+    "enrollment": """SELECT o_orderkey AS eid, o_custkey AS pid, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS program,
+        CAST(o_custkey AS {text}) || '/' || CAST(year(o_orderdate) AS {text}) AS household,
+        CAST(o_orderdate AS DATE) AS entry, o_custkey % 12 AS residence FROM orders""",
+    "exit": """SELECT o_orderkey AS eid, o_custkey % 33 AS dest,
+        CAST(o_orderdate AS DATE) + CAST(floor(o_totalprice / 5000) AS INT) AS left_on
+        FROM orders WHERE o_orderstatus = 'F'""",
+    "client": """SELECT c_custkey AS person, DATE '1994-01-01' + CAST(c_custkey % 1500 AS INT) AS dob,
+        CAST(c_nationkey % 2 AS BIGINT) AS veteran, CAST(c_nationkey % 3 AS BIGINT) AS gender, 'one' AS folder FROM customer""",
+    "client2": """SELECT c_custkey AS person,
+        DATE '1994-01-01' + CAST(c_custkey % 1500 + floor(c_acctbal / 15) AS INT) AS dob,
+        CAST(CASE WHEN c_nationkey > 20 THEN 1 ELSE 99 END AS BIGINT) AS veteran, CAST(c_nationkey % 4 AS BIGINT) AS gender,
+        'two' AS folder FROM customer""",
+    "disabilities": f"""SELECT l_orderkey AS eid, {STAGE_OF} AS stage, l_linenumber % 6 + 5 AS kind,
+        max(CAST(l_quantity AS BIGINT) % 10) AS answer FROM lineitem GROUP BY 1, 2, 3""",
+    "employment_education": f"""SELECT l_orderkey AS eid, {STAGE_OF} AS stage, max(l_suppkey % 10) AS employed
+        FROM lineitem GROUP BY 1, 2""",
+    "health_dv": f"""SELECT l_orderkey AS eid, {STAGE_OF} AS stage, min(l_suppkey % 11) AS health
+        FROM lineitem GROUP BY 1, 2""",
+    "income": f"""SELECT l_orderkey AS eid, {STAGE_OF} AS stage, l_partkey % 10 AS source, l_extendedprice AS amount
+        FROM lineitem""",
+    "project": """SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS program,
+        CAST(substr(o_orderpriority, 1, 1) AS BIGINT) * 4 AS kind FROM orders""",
+}
+
+
+def known(column: str) -> str:
+    return f"CASE WHEN {column} NOT IN (8, 9, 99) THEN {column} END"
+
+
+def staged_sql(name: str, column: str) -> str:
+    return f"""SELECT eid, max({known(column)}) FILTER (stage = 1) AS {column}_entry,
+        max({known(column)}) FILTER (stage = 3) AS {column}_exit, FROM ({RAW_SQL[name]})
+        WHERE stage <> 2 GROUP BY eid"""
+
+
+DISABILITY_COLUMNS = {
+    f"{name}{suffix}": (stage, code)
+    for stage, suffix in ((1, "_entry"), (3, "_exit"))
+    for code, name in enumerate(
+        ("Physical", "Developmental", "ChronicHealth", "HIVAIDS", "MentalHealth", "SubstanceAbuse"), 5
+    )
+}
+ENROLLMENT_SQL = f"""WITH e AS (SELECT * REPLACE ({known("residence")} AS residence)
+        FROM ({RAW_SQL["enrollment"].format(text="VARCHAR")}) QUALIFY count(*) OVER (PARTITION BY household) > 1),
+    x AS (SELECT eid, left_on, m.* FROM ({RAW_SQL["exit"]}) LEFT JOIN (
+        SELECT CAST(a AS BIGINT) AS "DestinationNumeric", b AS "DestinationDescription",
+            c AS "DestinationGroup", d AS "DestinationSuccess", e AS "Subsidy"
+        FROM (VALUES {values_sql(DESTINATIONS)}) v(a, b, c, d, e)) m
+        ON {known("dest")} = m."DestinationNumeric"),
+    raw AS ({RAW_SQL["client"]} UNION ALL {RAW_SQL["client2"]}),
+    flagged AS (SELECT person, dob, folder, max({known("veteran")}) OVER w AS veteran,
+            CASE WHEN min(gender) OVER w = max(gender) OVER w THEN gender END AS gender
+        FROM raw WINDOW w AS (PARTITION BY person)),
+    first AS (SELECT pid, min(entry) AS first FROM e GROUP BY pid),
+    sane AS (SELECT person, CASE WHEN dob <= coalesce(first, DATE '9999-01-01') THEN dob END AS dob, folder,
+        veteran, gender FROM flagged LEFT JOIN first ON pid = person),
+    c AS (SELECT person, 'one' AS folder, max(veteran) AS veteran, max(gender) AS gender,
+            CASE WHEN count(dob) < 2 THEN max(dob)
+                WHEN max(dob) - min(dob) < 365 THEN min(dob) + CAST((max(dob) - min(dob)) // 2 AS INTEGER) END AS dob
+        FROM sane GROUP BY person),
+    d AS (SELECT eid, {", ".join(
+        f"max({known('answer')}) FILTER (stage = {s} AND kind = {k}) AS {n}"
+        for n, (s, k) in DISABILITY_COLUMNS.items())}
+        FROM ({RAW_SQL["disabilities"]}) WHERE stage <> 2 GROUP BY eid
+        HAVING count(*) FILTER (stage = 1) > 0 AND count(*) FILTER (stage = 3) > 0),
+    w AS ({staged_sql("employment_education", "employed")}),
+    h AS ({staged_sql("health_dv", "health")}),
+    s AS ({staged_sql("income", "source")}),
+    a AS ({staged_sql("income", "amount")}),
+    p AS (SELECT program, CAST(k AS BIGINT) AS "ProjectNumeric", t AS "ProjectType" FROM ({RAW_SQL["project"]})
+        LEFT JOIN (VALUES {values_sql(PROJECT_TYPES.items())}) v(k, t) ON kind = k)
+    SELECT e.eid, e.pid, e.program, e.household, e.entry, e.residence, x.* EXCLUDE (eid), c.* EXCLUDE (person),
+        d.* EXCLUDE (eid), w.* EXCLUDE (eid), h.* EXCLUDE (eid), s.* EXCLUDE (eid), a.* EXCLUDE (eid),
+        p.* EXCLUDE (program)
+    FROM c LEFT JOIN e ON e.pid = c.person LEFT JOIN x ON x.eid = e.eid LEFT JOIN d ON d.eid = e.eid
+    LEFT JOIN w ON w.eid = e.eid LEFT JOIN h ON h.eid = e.eid LEFT JOIN s ON s.eid = e.eid
+    LEFT JOIN a ON a.eid = e.eid LEFT JOIN p ON p.program = e.program"""
+
+
+def write_raw_tables(spark, folder) -> Extracts:
+    """The eight raw tables as CSV, clients in two folders, the others in the first."""
+    for name in ("orders", "lineitem", "customer"):
+        table(spark, folder, name).createOrReplaceTempView(name)
+    root = scratch_path(spark, "extracts")
+    files = {}
+    for name, sql in RAW_SQL.items():
+        path = f"{root}/{'F2' if name == 'client2' else 'F1'}/{name}"
+        data = spark.sql(sql.format(text="STRING"))
+        data.write.option("header", True).csv(path)
+        files.setdefault(name.removesuffix("2"), {})["F2" if name == "client2" else "F1"] = path
+    return Extracts(spark, files=files, specs=RAW_SPECS)
+
+
+@register("enrollment_merge", ENROLLMENT_SQL)
+def enrollment_merge(spark, folder):
+    """All eight raw tables from CSV to one row per person and enrolment."""
+    return merge_tables(write_raw_tables(spark, folder), groups=True)
