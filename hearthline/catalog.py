@@ -709,9 +709,9 @@ MEMBERS_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS hh_id, CAST(o_orderdate A
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
-@register(
-    "household_types",
-    f"""WITH m AS ({MEMBERS_SQL}),
+def household_sql(base: str) -> str:
+    """Rows with hh_id, entry, h_dob, relcode and disability, described."""
+    return f"""WITH m AS ({base}),
     a AS (SELECT * REPLACE (CASE WHEN days BETWEEN 0 AND 120 * 365.25 THEN h_dob END AS h_dob),
             CASE WHEN days BETWEEN 0 AND 120 * 365.25 THEN days / 365.25 END AS age
         FROM (SELECT *, CAST(entry - h_dob AS DOUBLE) AS days FROM m)),
@@ -734,14 +734,18 @@ MEMBERS_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS hh_id, CAST(o_orderdate A
                 THEN count(*) FILTER (h_child = 'no') OVER w END AS h_hh_adults,
             bool_or(h_elder = 'yes') OVER w AS elder, bool_or(disability = 'Disabled') OVER w AS disabled
         FROM e WINDOW w AS (PARTITION BY hh_id, entry))
-    SELECT hh_id, entry, h_dob, relcode, disability, h_hh_ct, round(h_age, 6) AS h_age, h_relcode, h_child, h_elder,
-        h_hh_kids, h_hh_adults,
+    SELECT * EXCLUDE (age, days, elder, disabled) REPLACE (round(h_age, 6) AS h_age),
         CASE WHEN elder THEN 'Elderly household' WHEN disabled THEN 'Non-elderly disabled household'
             ELSE 'Non-elderly non-disabled household' END AS h_hh_type1,
         CASE WHEN h_hh_kids > 0 AND h_hh_adults > 1 THEN 'multi-adult household with children'
             WHEN h_hh_kids > 0 AND h_hh_adults = 1 THEN 'single parent household with children'
             WHEN h_hh_kids = 0 AND h_hh_adults > 0 THEN 'household without children' END AS h_hh_type2
-    FROM g""",
+    FROM g"""
+
+
+@register(
+    "household_types",
+    household_sql(MEMBERS_SQL),
 )
 def household_types(spark, folder):
     """The lines of an order as the members of a household."""
@@ -773,30 +777,52 @@ SPELLS_SQL = """SELECT o_orderkey, o_custkey AS linkage_PID, CAST(o_orderdate AS
     FROM orders LEFT JOIN (SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS shipped
         FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey"""
 
-EXITS_SQL = f"""SELECT * EXCLUDE (ne, nx), CASE
-    WHEN exit IS NOT NULL OR agency <> 'HMIS' THEN exit
-    WHEN coalesce(hmis_proj_type, '') <> 'Emergency Shelter'
-        THEN CASE WHEN nx IS NULL THEN DATE '2017-12-31' ELSE ne END
-    WHEN nx IS NULL OR ne - entry >= 90 THEN entry + 90 ELSE ne END AS h_exit
-    FROM (SELECT *, lead(entry) OVER w AS ne, lead(exit) OVER w AS nx FROM ({SPELLS_SQL})
-        WINDOW w AS (PARTITION BY linkage_PID ORDER BY entry, o_orderkey))"""
 
-BOUNDS_SQL = f"""SELECT *, CASE WHEN h_servdays < 0 THEN exit WHEN h_servdays >= 0 THEN entry END AS h_entry
-    FROM (SELECT *, CAST(h_exit - entry AS INTEGER) AS h_servdays FROM ({EXITS_SQL}))"""
+def bounds_sql(base: str, order: str) -> str:
+    """Spells with the imputed exit, days and entry."""
+    return f"""SELECT *, CASE WHEN h_servdays < 0 THEN exit WHEN h_servdays >= 0 THEN entry END AS h_entry
+    FROM (SELECT *, CAST(h_exit - entry AS INTEGER) AS h_servdays FROM (
+        SELECT * EXCLUDE (ne, nx), CASE
+            WHEN exit IS NOT NULL OR agency <> 'HMIS' THEN exit
+            WHEN coalesce(hmis_proj_type, '') <> 'Emergency Shelter'
+                THEN CASE WHEN nx IS NULL THEN DATE '2017-12-31' ELSE ne END
+            WHEN nx IS NULL OR ne - entry >= 90 THEN entry + 90 ELSE ne END AS h_exit
+        FROM (SELECT *, lead(entry) OVER w AS ne, lead(exit) OVER w AS nx FROM ({base})
+            WINDOW w AS (PARTITION BY linkage_PID ORDER BY entry, {order}))))"""
 
 
-def covered_sql(keys: str, name: str) -> str:
+def covered_sql(keys: str, name: str, order: str) -> str:
     """A table of covered days per group by gaps and islands."""
     return f"""SELECT {keys}, CAST(sum(last - first) AS BIGINT) AS {name} FROM (
         SELECT {keys}, island, min(h_entry) AS first, max(h_exit) AS last FROM (
             SELECT *, sum(CASE WHEN h_entry <= seen THEN 0 ELSE 1 END)
-                OVER (PARTITION BY {keys} ORDER BY h_entry, o_orderkey) AS island
-            FROM (SELECT *, max(h_exit) OVER (PARTITION BY {keys} ORDER BY h_entry, o_orderkey
+                OVER (PARTITION BY {keys} ORDER BY h_entry, {order}) AS island
+            FROM (SELECT *, max(h_exit) OVER (PARTITION BY {keys} ORDER BY h_entry, {order}
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
                 FROM bounds WHERE h_entry IS NOT NULL AND h_exit IS NOT NULL))
         GROUP BY {keys}, island) GROUP BY {keys}"""
 
 
+def spells_sql(base: str, order: str) -> str:
+    """The whole history of spells."""
+    return f"""WITH bounds AS ({bounds_sql(base, order)}),
+        a AS ({covered_sql("linkage_PID, agency", "h_agency_time", order)}),
+        t AS ({covered_sql("linkage_PID", "h_tot_time", order)}),
+        f AS (SELECT b.* REPLACE (CASE WHEN h_servdays >= 0 THEN h_exit END AS h_exit,
+                CASE WHEN h_servdays >= 0 THEN entry END AS h_entry,
+                CASE WHEN h_servdays >= 0 THEN h_servdays + 1 END AS h_servdays),
+            CASE WHEN h_servdays >= 0 THEN 0 ELSE 1 END AS h_time_qual,
+            coalesce(h_agency_time, 0) AS h_agency_time, coalesce(h_tot_time, 0) AS h_tot_time
+            FROM bounds b LEFT JOIN a ON a.linkage_PID = b.linkage_PID AND a.agency = b.agency
+            LEFT JOIN t ON t.linkage_PID = b.linkage_PID),
+        p AS (SELECT * EXCLUDE ({order}), min({order}) AS {order} FROM f GROUP BY ALL),
+        n AS (SELECT *, lead(agency) OVER w AS la, lead(h_entry) OVER w AS li, lead(h_exit) OVER w AS lo FROM p
+            WINDOW w AS (PARTITION BY linkage_PID ORDER BY h_entry NULLS LAST, h_exit NULLS LAST, {order}))
+    SELECT * EXCLUDE (la, li, lo), CASE WHEN la IS NULL THEN agency ELSE agency || ' to ' || la END AS h_agency_trans,
+        CAST(li - h_exit AS INTEGER) AS h_t2next_prog, li <= h_exit AND h_entry <= lo AS h_overlap,
+        li >= h_entry AND lo <= h_exit AS h_within FROM n"""
+
+
 def spell_rows(spark, folder):
     """Orders as spells: from the order day to the last ship day, some of them open."""
     shipped = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
@@ -817,15 +843,16 @@ def spell_rows(spark, folder):
     )
 
 
-@register("exit_impute", f"{BOUNDS_SQL}")
+@register("exit_impute", bounds_sql(SPELLS_SQL, "o_orderkey"))
 def exit_impute(spark, folder):
     return spells.spell_bounds(spells.impute_exits(spell_rows(spark, folder), "o_orderkey"))
 
 
 @register(
     "interval_union",
-    f"""WITH bounds AS ({BOUNDS_SQL}), a AS ({covered_sql("linkage_PID, agency", "h_agency_time")}),
-        t AS ({covered_sql("linkage_PID", "h_tot_time")})
+    f"""WITH bounds AS ({bounds_sql(SPELLS_SQL, "o_orderkey")}),
+        a AS ({covered_sql("linkage_PID, agency", "h_agency_time", "o_orderkey")}),
+        t AS ({covered_sql("linkage_PID", "h_tot_time", "o_orderkey")})
     SELECT o_orderkey, coalesce(h_agency_time, 0) AS h_agency_time, coalesce(h_tot_time, 0) AS h_tot_time
     FROM bounds b LEFT JOIN a ON a.linkage_PID = b.linkage_PID AND a.agency = b.agency
     LEFT JOIN t ON t.linkage_PID = b.linkage_PID""",
@@ -837,25 +864,7 @@ def interval_union(spark, folder):
     return df.select("o_orderkey", "h_agency_time", "h_tot_time")
 
 
-@register(
-    "spell_history",
-    f"""WITH bounds AS ({BOUNDS_SQL}), a AS ({covered_sql("linkage_PID, agency", "h_agency_time")}),
-        t AS ({covered_sql("linkage_PID", "h_tot_time")}),
-        f AS (SELECT o_orderkey, b.linkage_PID, entry, exit, b.agency, hmis_proj_type,
-            CASE WHEN h_servdays >= 0 THEN h_exit END AS h_exit, CASE WHEN h_servdays >= 0 THEN entry END AS h_entry,
-            CASE WHEN h_servdays >= 0 THEN h_servdays + 1 END AS h_servdays,
-            CASE WHEN h_servdays >= 0 THEN 0 ELSE 1 END AS h_time_qual,
-            coalesce(h_agency_time, 0) AS h_agency_time, coalesce(h_tot_time, 0) AS h_tot_time
-            FROM bounds b LEFT JOIN a ON a.linkage_PID = b.linkage_PID AND a.agency = b.agency
-            LEFT JOIN t ON t.linkage_PID = b.linkage_PID),
-        p AS (SELECT linkage_PID, entry, exit, agency, hmis_proj_type, h_exit, h_servdays, h_entry,
-            h_agency_time, h_tot_time, h_time_qual, min(o_orderkey) AS o_orderkey FROM f GROUP BY ALL),
-        n AS (SELECT *, lead(agency) OVER w AS la, lead(h_entry) OVER w AS li, lead(h_exit) OVER w AS lo FROM p
-            WINDOW w AS (PARTITION BY linkage_PID ORDER BY h_entry NULLS LAST, h_exit NULLS LAST, o_orderkey))
-    SELECT * EXCLUDE (la, li, lo), CASE WHEN la IS NULL THEN agency ELSE agency || ' to ' || la END AS h_agency_trans,
-        CAST(li - h_exit AS INTEGER) AS h_t2next_prog, li <= h_exit AND h_entry <= lo AS h_overlap,
-        li >= h_entry AND lo <= h_exit AS h_within FROM n""",
-)
+@register("spell_history", spells_sql(SPELLS_SQL, "o_orderkey"))
 def spell_history(spark, folder):
     return spells.spell_history(spell_rows(spark, folder), "o_orderkey")
 
@@ -1009,3 +1018,168 @@ def write_raw_tables(spark, folder) -> Extracts:
 def enrollment_merge(spark, folder):
     """All eight raw tables from CSV to one row per person and enrolment."""
     return merge_tables(write_raw_tables(spark, folder), groups=True)
+
+
+# Both agencies' extracts from orders, as SQL both engines read: closed orders are the
+# homeless-services rows, the others those of two housing authorities. All values are text.
+HMIS_SQL = """SELECT 'HMIS0_' || CAST(o_custkey AS {text}) AS pid0,
+    CASE WHEN o_orderpriority LIKE '1%' THEN NULL WHEN o_orderpriority LIKE '2%'
+        THEN CAST(111111111 * (o_custkey % 10) AS {text}) ELSE CAST(o_custkey * 700001 AS {text}) END AS SSN,
+    CASE o_orderpriority WHEN '2-HIGH' THEN '99' WHEN '5-LOW' THEN '2' ELSE '1' END AS SSNDataQuality,
+    CAST(o_orderkey AS {text}) AS LastName, CASE WHEN o_custkey % 50 = 7 THEN 'Refused' ELSE 'Ann' END AS FirstName,
+    '' AS MiddleName, CAST(NULL AS {text}) AS NameSuffix,
+    CAST(DATE '1975-01-01' + CAST(o_custkey % 9000 + o_orderkey % 2 * 10 AS INT) AS {text}) AS DOB,
+    CAST(o_custkey % 6 AS {text}) AS Gender,
+    CAST(CAST(floor(o_custkey / 3) AS BIGINT) AS {text}) || '-' || CAST(year(o_orderdate) AS {text}) AS HouseholdID,
+    CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Y' WHEN '2' THEN 'F' WHEN '3' THEN '99' ELSE 'S' END
+        AS RelationshipToHoH,
+    CAST(o_custkey % 2 AS {text}) AS AmIndAKNative, '0' AS Asian, CAST(NULL AS {text}) AS BlackAfAmerican,
+    '1' AS NativeHIOtherPacific, '0' AS White, '1' AS Ethnicity,
+    CAST(CAST(o_orderdate AS DATE) + 3200 AS {text}) AS EntryDate,
+    CASE WHEN o_orderpriority NOT LIKE '5%'
+        THEN CAST(CAST(o_orderdate AS DATE) + CAST(3150 + floor(o_totalprice / 1000) AS INT) AS {text}) END AS ExitDate,
+    CASE WHEN o_totalprice > 250000 THEN 'Emergency Shelter' ELSE 'Transitional Housing' END AS ProjectType,
+    o_orderpriority AS ProjectName FROM orders WHERE o_orderstatus = 'F'"""
+PHA_SQL = """SELECT 'PHA0_' || CAST(o_custkey AS {text}) AS pid0,
+    CASE WHEN o_orderpriority NOT LIKE '1%' THEN CAST(o_custkey * 700001 AS {text}) END AS ssn_id_m6,
+    lower(o_orderpriority) AS lname_new_m6, CASE WHEN o_custkey % 40 = 3 THEN 'anonymous' ELSE 'bo' END AS fname_new_m6,
+    '' AS mname_new_m6, CAST(NULL AS {text}) AS lnamesuf_new_m6,
+    CAST(DATE '1870-01-01' + CAST(o_custkey * 31 % 40000 + o_orderkey % 3 * 10 AS INT) AS {text}) AS dob,
+    CASE o_custkey % 3 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' END AS gender2,
+    CAST(o_orderkey AS {text}) AS lname_new, 'bo' AS fname_new, CAST(NULL AS {text}) AS mname_new,
+    CASE o_custkey % 4 WHEN 0 THEN 'Asian only' WHEN 1 THEN 'Multiple race' WHEN 2 THEN 'White only' END AS race_new,
+    '0' AS r_aian_new, CAST(NULL AS {text}) AS r_asian_new, CAST(o_custkey % 2 AS {text}) AS r_black_new,
+    '0' AS r_nhpi_new, CAST(NULL AS {text}) AS r_white_new, '1' AS r_hisp_new,
+    CASE o_orderstatus WHEN 'O' THEN 'SHA' ELSE 'KCHA' END AS agency_new,
+    CAST(CAST(floor(o_custkey / 3) AS BIGINT) AS {text}) || '-' || CAST(year(o_orderdate) AS {text}) AS hh_id_new,
+    CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Y' WHEN '2' THEN 'H' ELSE 'S' END AS relcode,
+    CAST(CAST(o_orderdate AS DATE) + 3200 AS {text}) AS startdate,
+    CASE WHEN o_orderpriority NOT LIKE '5%'
+        THEN CAST(CAST(o_orderdate AS DATE) + CAST(3150 + floor(o_totalprice / 1000) AS INT) AS {text}) END AS enddate,
+    CASE WHEN o_orderpriority LIKE '3%' THEN 'Disabled' END AS disability2,
+    'HCV' AS major_prog, 'Tenant' AS prog_type, substr(o_orderpriority, 3, 3) AS subsidy_type,
+    CAST(NULL AS {text}) AS vouch_type_final, 'X' AS operator_type, CAST(NULL AS {text}) AS portfolio_final
+    FROM orders WHERE o_orderstatus <> 'F'"""
+HMIS_DUCK, PHA_DUCK = HMIS_SQL.format(text="VARCHAR"), PHA_SQL.format(text="VARCHAR")
+
+
+def agency_extracts(spark, folder) -> tuple[DataFrame, DataFrame]:
+    table(spark, folder, "orders").createOrReplaceTempView("orders")
+    return spark.sql(HMIS_SQL.format(text="STRING")), spark.sql(PHA_SQL.format(text="STRING"))
+
+
+def identity_sql(source: str, prefix: str, at_least: int) -> str:
+    order = "pid0, ssn NULLS LAST, lname, fname, mname, suf NULLS LAST, dob, gen NULLS LAST"
+    if prefix == "hmis1_":
+        order = order.replace("lname", "raw_dq, lname", 1)
+    return f"""SELECT * EXCLUDE (n, raw_dq), '{prefix}' || lpad(CAST(n AS VARCHAR), 6, '0') AS pid1,
+        CAST(CASE WHEN year(dob) < 1900 OR year(dob) > 2018 OR (SELECT count(*) FROM ({source}) o
+            WHERE o.born = i.dob) >= {at_least} THEN 2 ELSE 1 END AS INTEGER) AS dob_dq
+        FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS n
+            FROM (SELECT DISTINCT * EXCLUDE (born), born AS dob FROM ({source}))) i"""
+
+
+HMIS_IDENTITY_SQL = f"""SELECT pid0, SSN AS ssn, CAST(SSNDataQuality AS INTEGER) AS raw_dq, LastName AS lname,
+    FirstName AS fname, MiddleName AS mname, NameSuffix AS suf, CAST(DOB AS DATE) AS born,
+    CAST(Gender AS INTEGER) AS gen FROM ({HMIS_DUCK})"""
+PHA_IDENTITY_SQL = f"""SELECT pid0, ssn_id_m6 AS ssn,
+    CASE WHEN ssn_id_m6 IS NULL THEN 3 WHEN length(ssn_id_m6) < 9 THEN 2 ELSE 1 END AS raw_dq,
+    lname_new_m6 AS lname, fname_new_m6 AS fname, mname_new_m6 AS mname, lnamesuf_new_m6 AS suf,
+    CAST(dob AS DATE) AS born, CASE gender2 WHEN 'Female' THEN 1 WHEN 'Male' THEN 0 END AS gen FROM ({PHA_DUCK})"""
+
+
+def with_quality(sql: str) -> str:
+    return sql.replace("* EXCLUDE (n, raw_dq)", "* EXCLUDE (n, raw_dq), raw_dq AS dq")
+
+
+@register(
+    "prelink",
+    f"""WITH u AS (SELECT *, 1 AS src FROM ({with_quality(identity_sql(PHA_IDENTITY_SQL, "pha1_", 64))})
+        UNION ALL BY NAME SELECT *, 2 AS src FROM ({with_quality(identity_sql(HMIS_IDENTITY_SQL, "hmis1_", 81))})),
+    q AS (SELECT pid0, ssn, upper(lname) AS lname, upper(fname) AS fname, nullif(mname, '') AS mname, suf, dob, gen,
+            CAST(CASE WHEN ssn IS NULL THEN NULL WHEN CAST(ssn AS BIGINT) % 111111111 = 0
+                AND CAST(ssn AS BIGINT) <= 999999999 THEN 3 WHEN dq > 2 THEN 3 ELSE dq END AS INTEGER) AS ssn_dq,
+            CAST(year(dob) AS INTEGER) AS dob_y, CAST(month(dob) AS INTEGER) AS dob_m, CAST(day(dob) AS INTEGER) AS dob_d,
+            pid1, dob_dq,
+            'pid2_' || lpad(CAST(row_number() OVER (ORDER BY src, length(pid1), pid1) AS VARCHAR), 6, '0') AS pid2
+        FROM u)
+    SELECT *, CASE WHEN ssn_dq = 1 AND length(ssn) = 9 THEN ssn END AS ssn1,
+        CASE WHEN dob_dq = 1 THEN dob END AS dob1,
+        CASE WHEN dob_dq = 1 THEN dob_y END AS dob1_y, CASE WHEN dob_dq = 1 THEN dob_m END AS dob1_m,
+        CASE WHEN dob_dq = 1 THEN dob_d END AS dob1_d
+    FROM q WHERE fname NOT LIKE '%REFUSED%' AND fname NOT LIKE '%ANONYMOUS%'""",
+)
+def prelink_rows(spark, folder):
+    hmis, pha = agency_extracts(spark, folder)
+    return prelink(pha, hmis)
+
+
+MERGED_SQL = f"""SELECT m.*, 'one' AS pid1, 'two' AS pid2, CAST(split_part(m.pid0, '_', 2) AS BIGINT) AS linkage_PID,
+    CASE WHEN agency <> 'HMIS' THEN agency || ',' || ha_sub_type || ',NA,X,NA' END AS ha_prog_cat,
+    CASE WHEN agency = 'HMIS' THEN agency || ',' || hmis_proj_type || ',' || hmis_proj_name || ',' END AS hmis_prog_cat
+    FROM (SELECT pid0, 'HMIS_' || HouseholdID AS hh_id, RelationshipToHoH AS relcode, LastName AS lname,
+            FirstName AS fname, MiddleName AS mname,
+            CASE Gender WHEN '0' THEN 'Fem' WHEN '1' THEN 'Mal' WHEN '2' THEN 'MTF' WHEN '3' THEN 'FTM'
+                WHEN '4' THEN 'GNC' END AS gender, CAST(DOB AS DATE) AS dob,
+            CAST(AmIndAKNative AS INTEGER) AS r_aian, CAST(Asian AS INTEGER) AS r_asian,
+            CAST(BlackAfAmerican AS INTEGER) AS r_black, CAST(NativeHIOtherPacific AS INTEGER) AS r_nhpi,
+            CAST(White AS INTEGER) AS r_white, CAST(Ethnicity AS INTEGER) AS r_ethnicity,
+            CAST(EntryDate AS DATE) AS entry, CAST(ExitDate AS DATE) AS exit, 'HMIS' AS agency,
+            ProjectType AS hmis_proj_type, ProjectName AS hmis_proj_name FROM ({HMIS_DUCK})
+        UNION ALL BY NAME
+        SELECT pid0, agency_new || '_' || hh_id_new AS hh_id, relcode, lname_new AS lname, fname_new AS fname,
+            mname_new AS mname, CASE gender2 WHEN 'Female' THEN 'Fem' WHEN 'Male' THEN 'Mal' END AS gender,
+            CAST(dob AS DATE) AS dob, CASE WHEN FALSE THEN 1 WHEN race_new IS NULL THEN NULL ELSE 0 END AS r_aian,
+            CASE WHEN race_new = 'Asian only' THEN 1 END AS r_asian,
+            CASE WHEN r_black_new = '1' THEN 1 WHEN race_new IS NULL THEN NULL ELSE 0 END AS r_black,
+            CASE WHEN race_new IS NULL THEN NULL ELSE 0 END AS r_nhpi,
+            CASE WHEN race_new = 'White only' THEN 1 END AS r_white,
+            CASE WHEN race_new = 'Multiple race' THEN 1 WHEN race_new IS NULL THEN NULL ELSE 0 END AS r_multi,
+            CAST(r_hisp_new AS INTEGER) AS r_ethnicity, disability2 AS disability, CAST(startdate AS DATE) AS entry,
+            CAST(enddate AS DATE) AS exit, agency_new AS agency, major_prog AS ha_maj_prog, prog_type AS ha_prog_type,
+            subsidy_type AS ha_sub_type, vouch_type_final AS ha_vouch_type, operator_type AS ha_op_type,
+            portfolio_final AS ha_portfolio FROM ({PHA_DUCK})) m"""
+
+
+def merged_rows(spark, folder) -> DataFrame:
+    hmis, pha = agency_extracts(spark, folder)
+    ids = hmis.select("pid0").unionByName(pha.select("pid0")).distinct()
+    links = ids.select(
+        "pid0", F.lit("one").alias("pid1"), F.lit("two").alias("pid2"),
+        F.substring_index("pid0", "_", -1).cast("bigint").alias("linkage_PID"),
+    )
+    return merge_agencies(hmis, pha, links)
+
+
+@register("merged_agencies", MERGED_SQL)
+def merged_agencies(spark, folder):
+    return merged_rows(spark, folder)
+
+
+HOUSEHOLD_SQL = (
+    components_sql(
+        f"SELECT DISTINCT linkage_PID AS node FROM ({MERGED_SQL})",
+        f"""SELECT linkage_PID AS u, min(linkage_PID) OVER (PARTITION BY hh_id) AS v FROM ({MERGED_SQL})""",
+    )
+    + """ SELECT node, dense_rank() OVER (ORDER BY root) AS h_cluster,
+        count(*) OVER (PARTITION BY root) AS h_cluster_ct FROM cc"""
+)
+PLACED_SQL = f"""SELECT b.linkage_PID, hh_id, relcode, lname, disability, entry, exit, agency, hmis_proj_type, h_cluster,
+        h_cluster_ct, h_dob, row_number() OVER (ORDER BY pid0, hh_id, relcode, lname, h_dob) AS place
+    FROM ({MERGED_SQL}) b JOIN ({HOUSEHOLD_SQL}) k ON k.node = b.linkage_PID
+    JOIN (SELECT linkage_PID AS who, dob AS h_dob FROM (
+            SELECT *, bool_or(agency <> 'HMIS') OVER (PARTITION BY linkage_PID) AS has_pha FROM ({MERGED_SQL}))
+        WHERE (agency <> 'HMIS') = has_pha GROUP BY linkage_PID, dob
+        QUALIFY rank() OVER (PARTITION BY linkage_PID ORDER BY count(*) DESC) = 1) ON who = b.linkage_PID
+    WHERE entry >= DATE '2004-01-01'"""
+
+
+@register(
+    "housing_table",
+    f"SELECT * EXCLUDE (place) FROM ({spells_sql(household_sql(PLACED_SQL), 'place')})",
+)
+def housing(spark, folder):
+    """From both extracts to the longitudinal housing table."""
+    out = housing_table(merged_rows(spark, folder)).withColumn("h_age", F.round("h_age", 6))
+    kept = ["linkage_PID", "hh_id", "relcode", "lname", "disability", "entry", "exit", "agency", "hmis_proj_type"]
+    return out.select(*kept, *[c for c in out.columns if c.startswith("h_") and c not in kept])
