@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-MAX_PARTS = 1024
+MAX_PARTS = 512
 # A key with fewer rows than this never needs splitting, whatever its share.
 MIN_HOT_ROWS = 10_000
 SALT = "__salt"
@@ -93,6 +93,10 @@ def find_hot_key_sets(
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Null-safe equality of columns of one name, as plain column references.
+
+    Without an alias in between, joins in a row on one key keep the rows' partitioning.
+    """
     return reduce(
         lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
     )

@@ -125,19 +125,23 @@ def _typed_unique(data, pe, stage, stages, type_column, response, suffix) -> Dat
     for value, ss in stages.items():
         for code in codes:
             here = (F.col(stage) == value) & (F.col(type_column) == code)
-            name = response + ss + suffix[code]
-            aggs.append(F.max(F.when(here, F.col(response))).alias(name))
-            aggs.append(F.count(F.when(here, 1)).alias(f"__n_{name}"))
+            aggs.append(F.max(F.when(here, F.col(response))).alias(response + ss + suffix[code]))
     wide = data.groupBy(pe).agg(*aggs).filter((F.col("__in") > 0) & (F.col("__out") > 0))
-    return wide.drop(*[c for c in wide.columns if c.startswith("__")])
+    return wide.drop("__in", "__out")
 
 
 def collapse_to_max(
-    df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str], drop_order: bool = True
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    order: Sequence[str],
+    drop_order: bool = True,
+    null_keys: bool = True,
 ) -> DataFrame:
     """One row per key: maxima of the listed columns, the first row's value of the others.
 
-    Rows with a null key are not combined; the first of them is kept as it is.
+    Rows with a null key are not combined; the first of them is kept as it is. Without such
+    rows, ``null_keys=False`` saves a second pass.
     """
     maxed = [c for c in columns if c in df.columns]
     others = [c for c in df.columns if c not in maxed and c != key and c not in order]
@@ -147,5 +151,7 @@ def collapse_to_max(
     kept = others if drop_order else others + list(order)
     aggs = [F.max(c).alias(c) for c in maxed] + [F.min_by(c, rank).alias(c) for c in kept]
     known = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    if not null_keys:
+        return known
     unknown = keep_first(df.filter(F.col(key).isNull()), [key], list(order))
     return known.unionByName(unknown.select(*known.columns))

@@ -116,15 +116,15 @@ def _kept_stages(source: Extracts, table: str, spec: TableSpec) -> DataFrame:
         spec.role(k)
         for k in ("update_stage_val", "annual_assessment_stage_val", "post_exit_stage_val")
     ]
-    return widen.drop_stages(
-        source.read(table, spec), spec.role("collection_stage_column"), others
-    )
+    stage = spec.role("collection_stage_column")
+    # Each stage becomes a branch of its own; they share one scan and deduplication.
+    return materialise(widen.drop_stages(source.read(table, spec), stage, others))
 
 
-def entry_exit_table(source: Extracts, table: str) -> DataFrame:
+def entry_exit_table(source: Extracts, table: str, kept: DataFrame | None = None) -> DataFrame:
     """Entry and exit rows side by side, other stages dropped; keeps the rows' load orders."""
     spec = source.spec(table)
-    df = _kept_stages(source, table, spec)
+    df = _kept_stages(source, table, spec) if kept is None else kept
     return widen.split_rows_to_columns(
         df, spec.role("collection_stage_column"), _stages(spec), spec.role("person_enrollment_ID")
     )
@@ -166,13 +166,16 @@ def get_income(source: Extracts) -> DataFrame:
     """One row per enrolment with the maxima of the income columns per stage."""
     spec = source.spec("income")
     columns = spec.role("columns_to_take_max")
-    wide = entry_exit_table(source, "income")
+    kept = _kept_stages(source, "income", spec)
+    enrolment = spec.role("person_enrollment_ID")
+    null_keys = not kept.filter(F.col(enrolment).isNull()).isEmpty()
+    wide = entry_exit_table(source, "income", kept)
     orders = [c for c in wide.columns if c.startswith(ORD)]
     # The first row of the merged table: smallest entry position, exit-only rows after it.
     place = F.struct(*[x for c in orders for x in (F.col(c).isNull(), F.col(c))])
     wide = wide.withColumn(ORD, place).drop(*orders)
     maxed = [c + ss for ss in (ENTRY, EXIT) for c in columns]
-    return widen.collapse_to_max(wide, spec.role("person_enrollment_ID"), maxed, [ORD])
+    return widen.collapse_to_max(wide, enrolment, maxed, [ORD], null_keys=null_keys)
 
 
 def get_project(source: Extracts, types: Mapping | str = PROJECT_TYPES) -> DataFrame:
@@ -212,13 +215,13 @@ def merge_tables(
     # Both tables are read several times below, so each is cleaned once and fixed.
     enrollments = materialise(enrollment_table(source, groups).drop(ORD))
     clients = materialise(client_table(source, name_exclusion))
-    hot_enrolment, hot_person, hot_program = find_hot_key_sets(
-        enrollments, [[enrolment], [person], [program]]
-    )
+    hot_enrolment, hot_person = find_hot_key_sets(enrollments, [[enrolment], [person]])
     exits = source.spec("exit").role("person_enrollment_ID")
     df = merge_on(enrollments, get_exit(source), enrolment, exits, hot=hot_enrolment)
     settled = settle_dob(source, clients, enrollments).drop(ORD)
     df = merge_on(df, settled, person, source.spec("client").role("person_ID"), "right", hot_person)
+    # Clients without an enrolment have null keys, which may be many.
+    hot_enrolment, hot_program = find_hot_key_sets(df, [[enrolment], [program]])
     for table, read in (
         ("disabilities", get_disabilities),
         ("employment_education", get_employment_education),

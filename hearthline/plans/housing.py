@@ -9,7 +9,6 @@ from ..operators.household import describe_households
 from ..operators.reconcile import modal_values
 from ..operators.skew import join_values, number_rows
 from ..operators.spells import CUT_OFF, spell_history, usable_spells
-from ..session import materialise
 
 # Agencies whose dates of birth take precedence.
 AUTHORITIES = ("SHA", "KCHA")
@@ -31,8 +30,8 @@ def housing_table(
     """
     df = add_household_clusters(merged) if clusters else merged
     df = usable_spells(with_modal_dob(df))
-    # The stages below read the table several times, so it is fixed once.
+    # Numbering also fixes the table, which the stages below read several times.
     place = "__place"
-    df = materialise(number_rows(df, [order, "h_dob"] if order else df.columns, place))
+    df = number_rows(df, [order, "h_dob"] if order else df.columns, place)
     df = describe_households(df)
     return spell_history(df, place, cut_off=cut_off).drop(place)
