@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import skew
 from .components import connected_components
 from .skew import SALT, HotKeys, find_hot_keys, join_values, number_rows
 
@@ -40,7 +41,7 @@ def _pairs(members: DataFrame, probes: DataFrame, key: str, condition: Column) -
     The pairs are the result asked for. Rows of a hot key are dealt over pieces on one side
     and repeated on the other, so its pairs are made by many tasks.
     """
-    hot = find_hot_keys(members, [key])
+    hot = find_hot_keys(members, [key], skew.MIN_PAIR_ROWS)
     if hot:
         members, probes = _deal(members, hot), _repeat(probes, hot)
         on = [key, SALT]
@@ -94,25 +95,28 @@ def time_co_occurrence(
     delta = _micros(time_delta, time_unit)
     found = []
     for i, name in enumerate(times):
-        points = (
-            df.select(F.col(individual).alias("who"), _time_number(df, name).alias("t"))
-            .filter("who is not null and t is not null")
-            .distinct()
+        points = df.select(F.col(individual).alias("who"), _time_number(df, name).alias("t")).filter(
+            "who is not null and t is not null"
         )
         if delta == 0:
-            keyed = points.withColumnRenamed("t", "slot")
+            keyed = points.withColumnRenamed("t", "slot").distinct()
             pairs = _pairs(keyed, keyed, "slot", F.col("l.who") < F.col("r.who"))
         else:
-            own = F.floor(F.col("t") / F.lit(delta)) if delta > 1 else F.col("t")
-            slotted = points.withColumn("slot", own.cast("bigint")).withColumn("home", F.col("slot"))
-            # A close pair shares a slot or lies in neighbouring ones, so probing one side suffices.
+            # Slots are as wide as delta: within one all are close, and between neighbours the
+            # later side's first time and the earlier side's last decide. So an individual
+            # needs one row per slot, however many times it has there.
+            home = F.floor(F.col("t") / F.lit(delta)).cast("bigint")
+            slotted = points.groupBy("who", home.alias("home")).agg(
+                F.min("t").alias("first"), F.max("t").alias("last")
+            )
+            members = slotted.withColumn("slot", F.col("home"))
             probes = slotted.withColumn(
                 "slot", F.explode(F.array(F.col("home"), F.col("home") + 1))
             )
-            close = F.abs(F.col("l.t") - F.col("r.t")) <= delta
-            once = (F.col("l.home") != F.col("r.home")) | (F.col("l.who") < F.col("r.who"))
-            differ = F.col("l.who") != F.col("r.who")
-            pairs = _pairs(slotted, probes, "slot", close & once & differ)
+            near = F.col("l.first") - F.col("r.last") <= delta
+            beside = (F.col("l.home") != F.col("r.home")) & near & (F.col("l.who") != F.col("r.who"))
+            within = (F.col("l.home") == F.col("r.home")) & (F.col("l.who") < F.col("r.who"))
+            pairs = _pairs(members, probes, "slot", beside | within)
         found.append(pairs.distinct().withColumn("var", F.lit(i)))
     together = reduce(lambda x, y: x.unionByName(y), found)
     return together.groupBy("a", "b").agg(F.count("*").alias("n"))

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 MAX_PARTS = 512
-# A key with fewer rows than this never needs splitting, whatever its share.
-MIN_HOT_ROWS = 10_000
+# A key with fewer rows than this never needs splitting, whatever its share; the second
+# number is for joins that pair the rows of a key with each other.
+MIN_HOT_ROWS = 200_000
+MIN_PAIR_ROWS = 2_000
 SALT = "__salt"
 RANGE = "__range"
 
@@ -59,16 +61,17 @@ def no_hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     return HotKeys(tuple(keys), parts_of(df))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> HotKeys:
-    """One pass over the key columns with a frequent-items sketch; returns at most ``parts``."""
-    return find_hot_key_sets(df, [keys], parts)[0]
+def find_hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> HotKeys:
+    """One pass over the key columns with a frequent-items sketch; at most one key per part."""
+    return find_hot_key_sets(df, [keys], min_rows)[0]
 
 
 def find_hot_key_sets(
-    df: DataFrame, key_sets: Sequence[Sequence[str]], parts: int | None = None
+    df: DataFrame, key_sets: Sequence[Sequence[str]], min_rows: int | None = None
 ) -> list[HotKeys]:
     """The hot keys of several key sets, still in one pass."""
-    parts = parts or parts_of(df)
+    parts = parts_of(df)
+    least = MIN_HOT_ROWS if min_rows is None else min_rows
     tracked = min(1_000_000, 64 * parts)
     hashed = df.select(
         *[F.xxhash64(*[F.col(k) for k in ks]).alias(f"h{i}") for i, ks in enumerate(key_sets)]
@@ -85,7 +88,7 @@ def find_hot_key_sets(
             tuple(
                 e["item"]
                 for e in (top[f"h{i}"] or [])
-                if e["count"] * parts > top["n"] and e["count"] >= MIN_HOT_ROWS
+                if e["count"] * parts > top["n"] and e["count"] >= least
             ),
         )
         for i, keys in enumerate(key_sets)
@@ -155,6 +158,8 @@ def with_group_values(
     if not hot:
         window = W.partitionBy(*keys)
         return df.withColumns({name: agg.over(window) for name, agg in values.items()})
+    # Both the totals and the rows come from the table; fixing it keeps chained steps linear.
+    df = materialise(df)
     totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in values.items()])
     return join_values(df.drop(*values), totals, keys, "left", hot)
 
@@ -203,6 +208,7 @@ class OrderedGroups:
 
     def _cut(self, df: DataFrame) -> DataFrame:
         parts, hot = self.hot.parts, self.hot
+        df = materialise(df)  # read for the bounds, the cuts, the borders and the rows
         rows = df.filter(hot.holds())
         first, second = self.order[0], (self.order + self.order)[1]
         bounds = rows.agg(

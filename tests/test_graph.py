@@ -35,6 +35,7 @@ def brute_components(edges):
 def test_components(spark, n, m, hot, monkeypatch):
     if hot:
         monkeypatch.setattr(skew, "MIN_HOT_ROWS", 0)
+        monkeypatch.setattr(skew, "MIN_PAIR_ROWS", 0)
     rng = random.Random(n * m)
     edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
     got = dict(rows(connected_components(spark.createDataFrame(edges, "u long, v long"))))
@@ -125,6 +126,7 @@ def test_pairs_of_a_hot_group(spark, monkeypatch):
     plain = rows(groups_co_occurrence(df, "i", "g"))
     close = rows(time_co_occurrence(df, "i", ["g"], "us", 1))
     monkeypatch.setattr(skew, "MIN_HOT_ROWS", 0)
+    monkeypatch.setattr(skew, "MIN_PAIR_ROWS", 0)
     assert rows(groups_co_occurrence(df, "i", "g")) == plain
     assert rows(time_co_occurrence(df, "i", ["g"], "us", 1)) == close
 
