@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from hearthline import catalog
 
 FOLDER = contract.FLAGSHIP_FOLDER
 duckdb = pytest.importorskip("duckdb")
@@ -41,7 +42,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)
 
 
 def test_entry(spark):
