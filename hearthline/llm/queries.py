@@ -1,10 +1,20 @@
 """The registered queries of this subpackage and their SQL where SQL can say it."""
 
 from .bpe import op2_byte_bpe
+from .language import op1_language_id
+from .licenses import op8_license_scan
+from .mixing import op6_source_mix
+from .quality import op7_quality_rules
 from .secrets import op5_secret_scan
+from .urls import op3_url_filter
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_url_filter": op3_url_filter,
     "op5_secret_scan": op5_secret_scan,
+    "op6_source_mix": op6_source_mix,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_license_scan": op8_license_scan,
 }
 SQL: dict[str, str] = {}
