@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL where SQL can say it."""
 
 from .bpe import op2_byte_bpe
+from .jaccard import op10_jaccard_join
 from .language import op1_language_id
 from .licenses import op8_license_scan
 from .mixing import op6_source_mix
@@ -16,5 +17,6 @@ QUERIES = {
     "op6_source_mix": op6_source_mix,
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 SQL: dict[str, str] = {}
