@@ -7,16 +7,22 @@ from .licenses import op8_license_scan
 from .mixing import op6_source_mix
 from .quality import op7_quality_rules
 from .secrets import op5_secret_scan
+from .tokenfile import op9_token_files
+from .topk import OP4_SQL, op4_exact_topk
 from .urls import op3_url_filter
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_url_filter": op3_url_filter,
+    "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_source_mix": op6_source_mix,
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
+    "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_exact_topk": OP4_SQL,
+}
