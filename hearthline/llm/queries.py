@@ -7,6 +7,7 @@ from .licenses import op8_license_scan
 from .mixing import op6_source_mix
 from .quality import op7_quality_rules
 from .secrets import op5_secret_scan
+from .sql import JACCARD_SQL, LICENSE_SQL, QUALITY_SQL, URL_SQL
 from .tokenfile import op9_token_files
 from .topk import OP4_SQL, op4_exact_topk
 from .urls import op3_url_filter
@@ -24,5 +25,9 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 SQL: dict[str, str] = {
+    "op3_url_filter": URL_SQL,
     "op4_exact_topk": OP4_SQL,
+    "op7_quality_rules": QUALITY_SQL,
+    "op8_license_scan": LICENSE_SQL,
+    "op10_jaccard_join": JACCARD_SQL,
 }
