@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 #: (verdict, host, path) of the contract.
 RULES = (
@@ -78,15 +78,16 @@ def _strength(groups: DataFrame) -> float:
 
 
 def host_posteriors(hosts: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
-    """``host``, ``alpha``, ``beta`` and ``n`` for every distinct row of ``hosts`` (host).
+    """``host``, ``alpha``, ``beta`` and ``n`` for every host of ``hosts`` or ``outcomes``.
 
     ``outcomes`` has ``host`` and ``bad`` (boolean; null is no outcome). Hosts without outcomes get
     what their domain, suffix or all pages tell; with no outcome at all the rate is one half.
     """
-    known = hosts.select("host").distinct().withColumn("suffix", suffix_of(F.col("host"), suffixes))
-    known = known.withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
+    asked = hosts.groupBy("host").agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad"))
     counts = outcomes.filter("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    level = known.join(counts, "host", "left").fillna(0, ["n", "bad"])
+    level = asked.unionByName(counts).groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    level = level.withColumn("suffix", suffix_of(F.col("host"), suffixes)).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
+    level = written(level, "url-hosts")
     all_pages = level.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     mean = ((all_pages.bad or 0) + 1) / ((all_pages.n or 0) + 2)
     parents = None
