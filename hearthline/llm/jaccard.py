@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from .common import table, written
-from .shingles import digest, shingle_set
+from .shingles import digest, mixed, shingle_set
 
 #: A shingle of more documents than this is placed late in the order.
 COMMON = 32
@@ -190,7 +190,12 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
             fresh = np.ones(len(rows), bool)
             fresh[1:] = (rows["g"][1:] != rows["g"][:-1]) | (rows["node"][1:] != rows["node"][:-1])
             rows = rows[fresh]
-            starts = np.flatnonzero(np.concatenate([[True], rows["g"][1:] != rows["g"][:-1]]))
+            # A region falls apart where the next larger set is too large for any link across.
+            rows = rows[np.lexsort((rows["n"], rows["g"]))]
+            first = np.ones(len(rows), bool)
+            first[1:] = (rows["g"][1:] != rows["g"][:-1]) | (100 * rows["n"][:-1].astype(np.int64) < percent * rows["n"][1:].astype(np.int64))
+            rows["g"] = mixed(rows["g"] + rows["n"][np.flatnonzero(first)][np.cumsum(first) - 1].astype(np.uint64))
+            starts = np.flatnonzero(first)
             size = np.diff(np.concatenate([starts, [len(rows)]]))
             of = np.repeat(size, size)
             rows, of = rows[of > 1], of[of > 1]
@@ -272,20 +277,26 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if turn == ROUNDS:
                 break
             state = state.join(small, "g", "left_anti")
-        most = F.sort_array(F.collect_set(F.struct("weight", "node")), asc=False)
-        best = F.slice(most, 1, PIVOTS) if turn else F.array(F.max(F.struct("weight", "node")))
-        pivots = state.groupBy("g").agg(best.alias("p")).select("g", "p.node").withColumnRenamed("node", "ps")
-        met = state.join(pivots, "g").filter(~F.array_contains("ps", F.col("node")))
-        met = met.select("g", "node", "n", "weight", "cls", F.explode_outer("ps").alias("b"))
-        between = pivots.select(F.explode_outer("ps").alias("a"), "ps").select("a", F.explode_outer("ps").alias("b")).filter("a < b")
-        pairs = met.select(F.col("node").alias("a"), "b").unionByName(between).distinct()
+        # The most central member of each of a few hash classes: never a whole region in one array.
+        each = F.pmod(F.xxhash64("node"), F.lit(PIVOTS if turn else 1))
+        best = state.groupBy("g", each.alias("e")).agg(F.max(F.struct("weight", "node", "n")).alias("p"))
+        pivots = best.groupBy("g").agg(F.collect_list("p").alias("ps"))
+        met = state.join(pivots, "g").filter(~F.array_contains("ps.node", F.col("node")))
+        met = met.select("g", "node", "n", "weight", "cls", F.explode_outer("ps").alias("p"))
+        met = met.select("g", "node", "n", "weight", "cls", F.col("p.node").alias("b"), F.col("p.n").alias("nb"))
+        between = pivots.select(F.explode_outer("ps.node").alias("a"), "ps.node").select("a", F.explode_outer("node").alias("b")).filter("a < b")
+        sized = F.expr(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
+        pairs = met.filter(sized).select(F.col("node").alias("a"), "b").unionByName(between).distinct()
         found = _measured(pairs, sets)
         links.append(found.filter(linked).select("a", "b"))
         far = found.select(F.col("a").alias("node"), "b", (1 - F.col("inter") / F.col("either")).alias("d"), linked.alias("near"))
-        placed = met.join(far, ["node", "b"])
-        if turn:  # with several pivots: the nearest one's cell, and those in the window
-            least = placed.groupBy("g", "node").agg(F.min("d").alias("least"))
-            placed = placed.join(least, ["g", "node"]).filter(F.col("d") <= F.col("least") + 2 * eps)
+        placed = met.join(far, ["node", "b"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
+        if turn:
+            # With several pivots: the nearest one's cell, and those in the window. Where the sizes made measuring
+            # needless, the distance is at least what they tell.
+            least = placed.groupBy("g", "node").agg(F.coalesce(F.min("d"), F.lit(1.0)).alias("least"))
+            bound = F.coalesce("d", F.expr("1 - least(n, nb) / greatest(n, nb)"))
+            placed = placed.join(least, ["g", "node"]).filter(bound <= F.col("least") + 2 * eps)
         cells = placed.select(
             F.xxhash64("g", "b").alias("g"), "node", "n", "weight", F.when(F.col("near"), F.col("b")).otherwise(F.col("cls")).alias("cls")
         )
