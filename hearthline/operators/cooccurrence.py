@@ -55,12 +55,12 @@ def _pairs(members: DataFrame, probes: DataFrame, key: str, condition: Column) -
 
 
 def _deal(df: DataFrame, hot: HotKeys) -> DataFrame:
-    piece = F.pmod(F.xxhash64(*df.columns), F.lit(hot.parts)).cast("int")
+    piece = hot.one(*df.columns)
     return df.withColumn(SALT, F.when(hot.holds(), piece).otherwise(F.lit(0)))
 
 
 def _repeat(df: DataFrame, hot: HotKeys) -> DataFrame:
-    pieces = F.sequence(F.lit(0), F.lit(hot.parts - 1))
+    pieces = hot.every()
     return df.withColumn(
         SALT, F.explode(F.when(hot.holds(), pieces).otherwise(F.array(F.lit(0))))
     )

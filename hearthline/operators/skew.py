@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-MAX_PARTS = 512
 # A key with fewer rows than this never needs splitting, whatever its share; the second
 # number is for joins that pair the rows of a key with each other.
 MIN_HOT_ROWS = 200_000
@@ -27,33 +26,64 @@ RANGE = "__range"
 
 
 def parts_of(df: DataFrame) -> int:
-    """How many pieces a balanced group-wise job is cut into, at most ``MAX_PARTS``."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(wanted, MAX_PARTS))
+    """Into how many tasks a balanced group-wise job is cut: the shuffle partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hashes of the keys that hold more than one ``parts``-th of the rows.
+    """Hashes of the keys that hold more than one task's share of the rows, and their pieces.
 
-    There are at most ``parts`` of them, so tables with one row per hot key (or one per hot
-    key and piece) have a proven bound and may be broadcast. A hash collision only moves rows
-    to another task; it never changes a result.
+    A key gets as many pieces as it holds shares, rounded up to a power of two so that few sizes
+    occur. There are at most ``parts`` such keys and four times as many pieces, so tables with one
+    row per hot key (or one per hot key and piece) have a proven bound and may be broadcast. A hash
+    collision only moves rows to another task; it never changes a result.
     """
 
     keys: tuple[str, ...]
     parts: int
     hashes: tuple[int, ...] = field(default=())
+    pieces: tuple[int, ...] = field(default=())
 
     def __bool__(self) -> bool:
         return bool(self.hashes)
 
     def on(self, *keys: str) -> HotKeys:
         """The same key values under other column names of the same types."""
-        return HotKeys(keys, self.parts, self.hashes)
+        return HotKeys(keys, self.parts, self.hashes, self.pieces)
+
+    def hash(self) -> Column:
+        return F.xxhash64(*[F.col(k) for k in self.keys])
 
     def holds(self) -> Column:
-        return F.xxhash64(*[F.col(k) for k in self.keys]).isin(list(self.hashes))
+        return self.hash().isin(list(self.hashes))
+
+    def by_size(self) -> dict[int, list[int]]:
+        """The hashes of each number of pieces."""
+        sizes: dict[int, list[int]] = {}
+        for h, n in zip(self.hashes, self.pieces):
+            sizes.setdefault(n, []).append(h)
+        return sizes
+
+    def count(self) -> Column:
+        """How many pieces the row's key has: one unless it is hot."""
+        column = F.lit(1)
+        for n, hashes in self.by_size().items():
+            column = F.when(self.hash().isin(hashes), F.lit(n)).otherwise(column)
+        return column
+
+    def every(self) -> Column:
+        """An array of all pieces of the row's key."""
+        return F.sequence(F.lit(0), self.count() - 1)
+
+    def one(self, *by: str) -> Column:
+        """The piece of the row's key that the hash of the given columns falls to."""
+        return F.pmod(F.xxhash64(*[F.col(c) for c in by]), self.count()).cast("int")
+
+
+def pieces_for(count: int, rows: int, parts: int) -> int:
+    """Shares of one task in a key's rows, rounded up to a power of two; two at least."""
+    return 1 << max(1, (-(-count * parts // rows) - 1).bit_length())
 
 
 def no_hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
@@ -81,18 +111,17 @@ def find_hot_key_sets(
         for i in range(len(key_sets))
     ]
     top = hashed.agg(*sketches, F.count("*").alias("n")).first()
-    return [
-        HotKeys(
-            tuple(keys),
-            parts,
-            tuple(
-                e["item"]
-                for e in (top[f"h{i}"] or [])
-                if e["count"] * parts > top["n"] and e["count"] >= least
-            ),
+    found = []
+    for i, keys in enumerate(key_sets):
+        hot = [
+            (e["item"], pieces_for(e["count"], top["n"], parts))
+            for e in (top[f"h{i}"] or [])
+            if e["count"] * parts > top["n"] and e["count"] >= least
+        ]
+        found.append(
+            HotKeys(tuple(keys), parts, tuple(h for h, _ in hot), tuple(n for _, n in hot))
         )
-        for i, keys in enumerate(key_sets)
-    ]
+    return found
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -105,10 +134,10 @@ def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
-def _row_salt(df: DataFrame, parts: int) -> Column:
+def _row_salt(df: DataFrame, hot: HotKeys) -> Column:
     """A piece number per row that also spreads exact copies: they differ in partition."""
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(parts)).cast("int")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), hot.count()).cast("int")
 
 
 def join_values(
@@ -129,13 +158,8 @@ def join_values(
     on = keys
     extra: list[str] = []
     if hot:
-        rows = rows.withColumn(
-            SALT, F.when(hot.holds(), _row_salt(rows, hot.parts)).otherwise(F.lit(0))
-        )
-        pieces = F.sequence(F.lit(0), F.lit(hot.parts - 1))
-        values = values.withColumn(
-            SALT, F.explode(F.when(hot.holds(), pieces).otherwise(F.array(F.lit(0))))
-        )
+        rows = rows.withColumn(SALT, _row_salt(rows, hot))
+        values = values.withColumn(SALT, F.explode(hot.every()))
         on, extra = keys + [SALT], [SALT]
     if not null_safe:
         return rows.join(values, on, how).drop(*extra)
@@ -207,7 +231,7 @@ class OrderedGroups:
         self._by = [F.col(c).asc_nulls_last() for c in self.order]
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        parts, hot = self.hot.parts, self.hot
+        hot = self.hot
         df = materialise(df)  # read for the bounds, the cuts, the borders and the rows
         rows = df.filter(hot.holds())
         first, second = self.order[0], (self.order + self.order)[1]
@@ -222,10 +246,13 @@ class OrderedGroups:
         place = F.coalesce(F.floor(_number(df, first)) + within, F.lit(float("inf")))
         if dict(df.dtypes)[first] in ("double", "float") or dict(df.dtypes)[first].startswith("dec"):
             place = F.coalesce(_number(df, first), F.lit(float("inf")))
-        steps = [i / parts for i in range(1, parts)]
-        cuts = rows.groupBy(*self.keys).agg(
-            F.percentile_approx(place, steps, 100 * parts).alias("__cuts")
-        )
+        each = [
+            rows.filter(hot.hash().isin(hashes)).groupBy(*self.keys).agg(
+                F.percentile_approx(place, [i / n for i in range(1, n)], 100 * n).alias("__cuts")
+            )
+            for n, hashes in hot.by_size().items()
+        ]
+        cuts = reduce(DataFrame.unionByName, each)
         cuts = materialise(cuts)  # at most one row per hot key, and the same in every use
         joined = join_small(df, cuts, self.keys)
         cut = F.size(F.filter(F.coalesce("__cuts", F.array().cast("array<double>")), lambda c: c < place))

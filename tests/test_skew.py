@@ -35,6 +35,19 @@ def test_hot_keys_are_found(spark, tilted, low_bar):
     assert not skew.find_hot_keys(tilted, ["ord"])
 
 
+def test_pieces_follow_the_count(spark, low_bar):
+    """With many partitions configured, a key of 1/600 of the rows is hot; the pieces are its shares."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 2000)
+    try:
+        df = spark.range(60_000).selectExpr("CASE WHEN id < 100 THEN -1 WHEN id < 20100 THEN -2 ELSE id END AS k")
+        hot = skew.find_hot_keys(df, ["k"])
+        sizes = {r["k"]: r["n"] for r in df.select("k", hot.count().alias("n")).distinct().collect() if r["k"] < 0}
+        assert sizes == {-1: 4, -2: 1024} and len(hot.hashes) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_hot_keys_need_many_rows(tilted):
     assert not skew.find_hot_keys(tilted, ["k"])
 
