@@ -21,11 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Written as Parquet to the shared folder and read back: cuts the lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Written as Parquet to the shared folder and read back: cuts the lineage, survives lost executors.
+
+    ``batch_rows`` holds for the Arrow batches of this one job, where rows are wide.
+    """
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = scratch_path(spark, label), spark.conf.get(name)
+    try:
+        if batch_rows:
+            spark.conf.set(name, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        if batch_rows:
+            spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batch: pa.RecordBatch, rows: int = ROWS_PER_SLICE) -> Iterator[pa.RecordBatch]:

@@ -36,9 +36,13 @@ COMMON = 32
 #: The list of common shingles is broadcast; it is kept to so many by raising the bar.
 MAX_COMMON = 2_000_000
 #: Packed records that a task holds before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
+#: Rows of an Arrow batch, as they hold whole texts or sets.
+BATCH = 1_000
 #: Pivot rounds before the rest is compared pair by pair; pivots of a region after the first round; pairs that are few.
-ROUNDS, PIVOTS, SMALL = 6, 4, 2_048
+ROUNDS, PIVOTS, SMALL = 4, 4, 50_000
+#: Cells of a set's histogram; a power of two.
+CELLS = 256
 _U = np.uint64
 
 
@@ -46,8 +50,26 @@ def _parts(spark) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
-    return (((h >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64)
+def _placed(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part of every hash, and its 32-bit place in the part; both grow with the hash."""
+    scaled = (h >> _U(32)) * _U(parts)
+    return (scaled >> _U(32)).astype(np.int64), (scaled & _U(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _planes(*columns: np.ndarray) -> bytes:
+    """Bytes of little-endian columns, plane by plane: the shuffle's compression takes the slow-changing ones away."""
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+
+
+def _columns(blob: bytes, *kinds) -> list[np.ndarray]:
+    width, out, at = sum(np.dtype(k).itemsize for k in kinds), [], 0
+    n = len(blob) // width
+    for kind in kinds:
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(blob, np.uint8, size * n, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += size * n
+    return out
 
 
 def _nodes(docs: DataFrame, key: str, text: str, seed: int) -> DataFrame:
@@ -73,7 +95,10 @@ def _nodes(docs: DataFrame, key: str, text: str, seed: int) -> DataFrame:
 
 
 def _common(docs: DataFrame, text: str, seed: int) -> tuple[int, np.ndarray]:
-    """Parts, and sorted codes (part and low half of the hash) of the shingles of over ``COMMON`` documents."""
+    """Parts, and sorted codes (part and 24 bits of the place in it) of the shingles of over ``COMMON`` documents.
+
+    Shingles that share a code are counted together, which at most places a rare one late.
+    """
     spark = docs.sparkSession
     parts = _parts(spark)
 
@@ -91,26 +116,29 @@ def _common(docs: DataFrame, text: str, seed: int) -> tuple[int, np.ndarray]:
             yield from packed(held)
 
     def packed(held):
-        h = np.sort(np.concatenate(held))  # by hash is by part
-        edges = np.searchsorted(_part_of(h, parts), np.arange(parts + 1))
+        part, place = _placed(np.sort(np.concatenate(held)), parts)
+        edges = np.searchsorted(part, np.arange(parts + 1))
         full = [p for p in range(parts) if edges[p] < edges[p + 1]]
-        low = h.astype(np.uint32)
-        blobs = [low[edges[p] : edges[p + 1]].tobytes() for p in full]
+        bytes_ = (place >> np.uint32(8)).view(np.uint8).reshape(-1, 4)[:, :3]
+        blobs = [bytes_[edges[p] : edges[p + 1]].T.tobytes() for p in full]
         yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
 
     def count(batches):
         held: dict[int, list] = {}
         for batch in batches:
             for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(p, []).append(np.frombuffer(blob, np.uint32))
+                held.setdefault(p, []).append(blob)
         for p in sorted(held):
-            keys, n = np.unique(np.concatenate(held.pop(p)), return_counts=True)
+            planes = [np.frombuffer(x, np.uint8).reshape(3, -1).astype(np.uint32) for x in held.pop(p)]
+            places = np.sort(np.concatenate([x[0] | x[1] << np.uint32(8) | x[2] << np.uint32(16) for x in planes]))
+            starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+            n = np.diff(np.concatenate([starts, [len(places)]]))
             hot = n > COMMON
-            codes = (np.int64(p) << np.int64(32)) | keys[hot].astype(np.int64)
+            codes = (np.int64(p) << np.int64(24)) | places[starts[hot]].astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n[hot].astype(np.int64))], names=["code", "n"])
 
     blobs = docs.select(F.col(text).alias("text")).mapInArrow(send, "part int, blob binary").repartition(parts // 4, "part")
-    counts = written(blobs.mapInArrow(count, "code long, n long"), "jaccard-common")
+    counts = written(blobs.mapInArrow(count, "code long, n long"), "jaccard-common", BATCH)
     bar = COMMON
     while counts.filter(F.col("n") > bar).count() > MAX_COMMON:
         bar *= 2
@@ -128,13 +156,13 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
     cells = 1 << 22
 
     def common_mask(h, codes, table):
-        low = (h & _U(0xFFFFFFFF)).astype(np.int64)
-        maybe = np.flatnonzero(table[low & (cells - 1)])
+        part, place = _placed(h, parts)
+        code = (part << np.int64(24)) | (place >> np.uint32(8)).astype(np.int64)
+        maybe = np.flatnonzero(table[code & (cells - 1)])
         out = np.zeros(len(h), bool)
         if len(maybe):
-            code = (_part_of(h[maybe], parts) << np.int64(32)) | low[maybe]
-            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            out[maybe] = codes[at] == code
+            at = np.minimum(np.searchsorted(codes, code[maybe]), len(codes) - 1)
+            out[maybe] = codes[at] == code[maybe]
         return out
 
     def send(batches):
@@ -161,31 +189,28 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
         if nodes:
             yield packed(held, nodes)
 
-    kind = np.dtype([("g", np.uint64), ("node", np.int64), ("n", np.int32)])
+    kinds = (np.uint32, np.int64, np.int32)
 
     def packed(held, nodes):
         h = np.concatenate(held)
         at = np.repeat(np.arange(len(held)), [len(x) for x in held])
         order = np.argsort(h, kind="stable")
-        h, at = h[order], at[order]
-        edges = np.searchsorted(_part_of(h, parts), np.arange(parts + 1))
+        part, place = _placed(h[order], parts)
+        node, n = (np.array(x)[at[order]] for x in zip(*nodes))
+        edges = np.searchsorted(part, np.arange(parts + 1))
         full = [p for p in range(parts) if edges[p] < edges[p + 1]]
-        who = np.array(nodes, [("node", np.int64), ("n", np.int32)])
-        blobs = []
-        for p in full:
-            rows = np.zeros(edges[p + 1] - edges[p], kind)
-            rows["g"] = h[edges[p] : edges[p + 1]]
-            rows["node"], rows["n"] = who["node"][at[edges[p] : edges[p + 1]]], who["n"][at[edges[p] : edges[p + 1]]]
-            blobs.append(rows.tobytes())
+        blobs = [_planes(*(c[edges[p] : edges[p + 1]] for c in (place, node, n.astype(np.int32)))) for p in full]
         return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
 
     def group(batches):
         held: dict[int, list] = {}
         for batch in batches:
             for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(p, []).append(np.frombuffer(blob, kind))
+                held.setdefault(p, []).append(blob)
         for p in sorted(held):
-            rows = np.concatenate(held.pop(p))
+            place, node, n = (np.concatenate(x) for x in zip(*(_columns(b, *kinds) for b in held.pop(p))))
+            rows = np.zeros(len(place), [("g", np.uint64), ("node", np.int64), ("n", np.int32)])
+            rows["g"], rows["node"], rows["n"] = place.astype(np.uint64) | _U(p) << _U(32), node, n
             rows = rows[np.lexsort((rows["node"], rows["g"]))]
             fresh = np.ones(len(rows), bool)
             fresh[1:] = (rows["g"][1:] != rows["g"][:-1]) | (rows["node"][1:] != rows["node"][:-1])
@@ -194,7 +219,7 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
             rows = rows[np.lexsort((rows["n"], rows["g"]))]
             first = np.ones(len(rows), bool)
             first[1:] = (rows["g"][1:] != rows["g"][:-1]) | (100 * rows["n"][:-1].astype(np.int64) < percent * rows["n"][1:].astype(np.int64))
-            rows["g"] = mixed(rows["g"] + rows["n"][np.flatnonzero(first)][np.cumsum(first) - 1].astype(np.uint64))
+            rows["g"] = mixed(mixed(rows["g"]) + rows["n"][np.flatnonzero(first)][np.cumsum(first) - 1].astype(np.uint64))
             starts = np.flatnonzero(first)
             size = np.diff(np.concatenate([starts, [len(rows)]]))
             of = np.repeat(size, size)
@@ -207,11 +232,14 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
                 )
 
     blobs = docs.select(F.col(text).alias("text")).mapInArrow(send, "part int, blob binary").repartition(parts // 4, "part")
-    return written(blobs.mapInArrow(group, "g long, node long, n int, held long"), "jaccard-regions")
+    return written(blobs.mapInArrow(group, "g long, node long, n int, held long"), "jaccard-regions", BATCH)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, seed: int) -> DataFrame:
-    """(node, hashes) of the wanted nodes, from one text of each."""
+    """(node, n, hist, hashes) of the wanted nodes, from one text of each; ``hist`` counts the hashes by cell.
+
+    A count that does not fit leaves the histogram null.
+    """
     one = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("th").alias("th"))
     texts = docs.select(F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     texts = texts.join(one.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
@@ -219,15 +247,49 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, seed:
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t, seed) for t in batch.column(1).to_pylist()]
+            counts = [np.bincount((h & _U(CELLS - 1)).astype(np.int64), minlength=CELLS) for h in sets]
+            hists = [c.astype(np.uint16).tobytes() if c.max(initial=0) < 1 << 16 else None for c in counts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([digest(h)[0] for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "hashes"]
+                [
+                    pa.array([digest(h)[0] for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()),
+                    pa.array(hists, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary()),
+                ],
+                names=["node", "n", "hist", "hashes"],
             )
 
-    return written(texts.mapInArrow(run, "node long, hashes binary"), "jaccard-sets")
+    return written(texts.mapInArrow(run, "node long, n long, hist binary, hashes binary"), "jaccard-sets", BATCH)
 
 
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, inter, either): exact sizes of intersection and union of each pair's sets."""
+def _hopeful(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their histograms allow to link: cell by cell, the smaller count bounds what is common."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
+                known = np.array([x.is_valid and y.is_valid for x, y in zip(part.column(2), part.column(3))], bool)
+                keep = np.ones(part.num_rows, bool)
+                if known.any():
+                    x, y = (
+                        np.frombuffer(b"".join(v.as_py() for v, k in zip(part.column(c), known) if k), np.uint16).reshape(-1, CELLS)
+                        for c in (2, 3)
+                    )
+                    most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                    total = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
+                    keep[known] = 100 * most >= percent * (total - most)
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(keep)), part.column(1).filter(pa.array(keep))], names=["a", "b"])
+
+    left = sets.select(F.col("node").alias("a"), F.col("hist").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("hist").alias("y"))
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return written(rows.mapInArrow(run, "a long, b long"), "jaccard-hopeful", BATCH)
+
+
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, inter, either): exact sizes of intersection and union of the pairs' sets.
+
+    Pairs that their histograms keep from linking are left out.
+    """
 
     def run(batches):
         last, held = None, None
@@ -247,8 +309,8 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return written(rows.mapInArrow(run, "a long, b long, inter long, either long"), "jaccard-measured")
+    rows = _hopeful(pairs, sets, percent).join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return written(rows.mapInArrow(run, "a long, b long, inter long, either long"), "jaccard-measured", BATCH)
 
 
 def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -272,7 +334,7 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             sized = F.expr(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
             apart = F.col("cls").isNull() | F.col("cb").isNull() | (F.col("cls") != F.col("cb"))
             pairs = one.join(two, "g").filter((F.col("node") < F.col("b")) & sized & apart)
-            found = _measured(pairs.select(F.col("node").alias("a"), "b").distinct(), sets)
+            found = _measured(pairs.select(F.col("node").alias("a"), "b").distinct(), sets, percent)
             links.append(found.filter(linked).select("a", "b"))
             if turn == ROUNDS:
                 break
@@ -287,13 +349,13 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         between = pivots.select(F.explode_outer("ps.node").alias("a"), "ps.node").select("a", F.explode_outer("node").alias("b")).filter("a < b")
         sized = F.expr(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
         pairs = met.filter(sized).select(F.col("node").alias("a"), "b").unionByName(between).distinct()
-        found = _measured(pairs, sets)
+        found = _measured(pairs, sets, percent)
         links.append(found.filter(linked).select("a", "b"))
         far = found.select(F.col("a").alias("node"), "b", (1 - F.col("inter") / F.col("either")).alias("d"), linked.alias("near"))
         placed = met.join(far, ["node", "b"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
         if turn:
-            # With several pivots: the nearest one's cell, and those in the window. Where the sizes made measuring
-            # needless, the distance is at least what they tell.
+            # With several pivots: the nearest one's cell, and those in the window. Where sizes or histograms made
+            # measuring needless, the distance is at least what the sizes tell.
             least = placed.groupBy("g", "node").agg(F.coalesce(F.min("d"), F.lit(1.0)).alias("least"))
             bound = F.coalesce("d", F.expr("1 - least(n, nb) / greatest(n, nb)"))
             placed = placed.join(least, ["g", "node"]).filter(bound <= F.col("least") + 2 * eps)
@@ -322,7 +384,7 @@ def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     true for one (key, th) of each component, the smallest. An empty table gives an empty result.
     """
     for seed in range(10):
-        nodes = written(_nodes(docs, key, text, seed), "jaccard-nodes")
+        nodes = written(_nodes(docs, key, text, seed), "jaccard-nodes", BATCH)
         clash = nodes.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).filter("x <> y")
         if clash.isEmpty():
             break
