@@ -53,10 +53,8 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The columns of ``documents``, the token ids, and whether decoding them gives the text again."""
     import public_tokenizers as P
 
-    path = P.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs, path, P.PATTERN), path)
-    whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return coded.select(*COLUMNS, F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
+    coded = bpe.encode(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, check=True)
+    return coded.select(*COLUMNS, F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

@@ -57,12 +57,23 @@ def _compiled(pattern: str):
     return regex.compile(pattern)
 
 
-def _id_lists(texts: list[str | None], path: str, pattern: str) -> pa.Array:
+def _id_lists(texts: list[str | None], path: str, pattern: str, check: bool) -> list[pa.Array]:
+    """The texts' ids and, if asked for, whether the bytes of the ids are those of the text."""
     encode = _encoding(path, pattern).encode_ordinary
-    each = [np.array(encode(t or ""), np.int32) for t in texts]
+    each, whole = [], []
+    for t in texts:
+        ids = encode(t or "")
+        each.append(np.array(ids, np.int32))
+        if check:
+            whole.append(_joined(ids, path) == (t or "").encode())
     offsets = np.zeros(len(each) + 1, np.int32)
     np.cumsum([len(x) for x in each], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *each])))
+    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *each])))
+    return [ids, pa.array(whole, pa.bool_())] if check else [ids]
+
+
+def _joined(ids: list[int], path: str) -> bytes:
+    return b"".join(map(_bytes_of(path).__getitem__, ids))
 
 
 def boundaries(chunk: str, is_last: bool, pattern: str) -> list[int]:
@@ -103,8 +114,8 @@ def _chunks(long_texts: DataFrame, step: int, overlap: int) -> DataFrame:
     return rows.repartition("key", "no")
 
 
-def _encode_long(long_texts: DataFrame, path: str, pattern: str, step: int, overlap: int) -> DataFrame:
-    """``key`` and ``ids`` of every text of (key, text)."""
+def _encode_long(long_texts: DataFrame, path: str, pattern: str, step: int, overlap: int, check: bool) -> DataFrame:
+    """``key``, ``ids`` and, if asked for, ``round_trip`` of every text of (key, text)."""
     places = T.ArrayType(T.LongType())
 
     def pretokenise(no, last, chunk):
@@ -139,37 +150,38 @@ def _encode_long(long_texts: DataFrame, path: str, pattern: str, step: int, over
         .agg(F.min("no").alias("first"), F.array_sort(F.collect_list(F.struct("no", "part"))).alias("parts"))
         .select("key", "first", F.array_join(F.col("parts.part"), "").alias("text"))
     )
-    encoded = add_columns(
-        pieces, ["text"], [T.StructField("ids", IDS)], lambda t: [_id_lists(t.to_pylist(), path, pattern)]
-    )
-    return encoded.groupBy("key").agg(
-        F.flatten(F.array_sort(F.collect_list(F.struct("first", "ids"))).getField("ids")).alias("ids")
-    )
+    encoded = add_columns(pieces, ["text"], _new(check), lambda t: _id_lists(t.to_pylist(), path, pattern, check))
+    ids = F.flatten(F.array_sort(F.collect_list(F.struct("first", "ids"))).getField("ids")).alias("ids")
+    return encoded.groupBy("key").agg(ids, *([F.bool_and("round_trip").alias("round_trip")] if check else []))
+
+
+def _new(check: bool) -> list[T.StructField]:
+    return [T.StructField("ids", IDS)] + [T.StructField("round_trip", T.BooleanType())] * check
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, text: str = "text"
+    docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, text: str = "text", check: bool = False
 ) -> DataFrame:
     """Add ``ids`` (array of int), the ids of every whole text; other columns stay.
 
+    With ``check`` the ids are decoded at once, and ``round_trip`` tells whether the text came back.
     Null and empty texts get no ids (an empty array). Repeated rows each get their own result, an
-    empty table an empty one, and a column ``ids`` of the input gives way to the new one. Texts
-    over ``chunk`` code points take the parallel path, each distinct one once.
+    empty table an empty one, and columns of the input of the new names give way. Texts over
+    ``chunk`` code points take the parallel path, each distinct one once.
     """
     if not 2 * MARGIN < overlap <= chunk:
         raise ValueError("the overlap must be longer than twice the margin and no longer than a chunk")
-    docs = docs.drop("ids") if text != "ids" else docs
+    new = [f.name for f in _new(check)]
+    docs = docs.drop(*(c for c in new if c != text))
     is_long = F.coalesce(F.length(text) > chunk, F.lit(False))
-    whole = add_columns(
-        docs.filter(~is_long), [text], [T.StructField("ids", IDS)], lambda t: [_id_lists(t.to_pylist(), path, pattern)]
-    )
+    whole = add_columns(docs.filter(~is_long), [text], _new(check), lambda t: _id_lists(t.to_pylist(), path, pattern, check))
     key = F.sha2(F.col(text), 256)
     texts = docs.filter(is_long).select(key.alias("key"), F.col(text).alias("text")).dropDuplicates(["key"])
-    coded = _encode_long(texts, path, pattern, chunk, overlap)
-    coded = coded.select(F.col("key").alias("__key"), F.col("ids").alias("__ids"))
+    coded = _encode_long(texts, path, pattern, chunk, overlap, check)
+    coded = coded.select(F.col("key").alias("__key"), *(F.col(c).alias(f"__{c}") for c in new))
     long = (
         docs.filter(is_long).withColumn("__key", key).join(coded, "__key", "left")
-        .select(*docs.columns, F.col("__ids").alias("ids"))
+        .select(*docs.columns, *(F.col(f"__{c}").alias(c) for c in new))
     )
     return whole.unionByName(long)
 
@@ -181,9 +193,8 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
     """
 
     def join(column):
-        table = _bytes_of(path)
         rows = (x.as_py() for x in column)
-        return [pa.array([None if r is None else b"".join(map(table.__getitem__, r)) for r in rows], pa.binary())]
+        return [pa.array([None if r is None else _joined(r, path) for r in rows], pa.binary())]
 
     return add_columns(docs, [ids], [T.StructField(out, T.BinaryType())], join)
 

@@ -26,6 +26,8 @@ def test_ids_equal_those_of_the_whole_text(spark, chunk, overlap):
     rows = [(i, t, "clash") for i, t in enumerate(texts())] + [(None, "no id", None)]
     docs = spark.createDataFrame(rows, SCHEMA)
     coded = bpe.decode(bpe.encode(docs, PATH, P.PATTERN, chunk, overlap), PATH)
+    checked = bpe.encode(docs, PATH, P.PATTERN, chunk, overlap, check=True)
+    assert {r.round_trip for r in checked.collect()} == {True} and checked.columns[-2:] == ["ids", "round_trip"]
     assert coded.columns == ["doc_id", "text", "ids", "decoded"]
     whole = bpe._encoding(PATH, P.PATTERN).encode_ordinary
     got = sorted(((r.doc_id, r.text, r.ids, bytes(r.decoded)) for r in coded.collect()), key=str)
