@@ -107,44 +107,56 @@ def test_project(spark, folders):
 
 
 CLIENT_SPEC = {
-    "person_ID": "id", "duplicate_check_columns": ["id", "dob_col", "first_name"],
-    "categorical_var": ["bool_col", "numeric"], "time_var": ["dob_col", "time_col"],
-    "boolean": ["bool_col"], "numeric_code": ["numeric"], "dob_column": "dob_col",
-    "name_columns": ["first_name"],
+    "person_ID": "guest", "duplicate_check_columns": ["guest", "born", "called"],
+    "categorical_var": ["insured", "origin"], "time_var": ["born", "noted"],
+    "boolean": ["insured"], "numeric_code": ["origin"], "dob_column": "born",
+    "name_columns": ["called"],
+}
+
+# Per person: the rows of each of two folders (born, noted, insured, origin) and what comes out.
+GUESTS = {
+    # Two births stay; the notes lie close and meet halfway; a yes outweighs a no; one known code.
+    ("31", "Imre"): ([("1971-03-02", "2009-05-10", 1, 9)], [("1971-03-22", "2009-05-14", 0, 4)],
+                     {("1971-03-02", "2009-05-12", 1, 4), ("1971-03-22", "2009-05-12", 1, 4)}),
+    # The same row twice but for an unknown flag: one row.
+    ("32", "Juno"): ([("1988-12-24", "2010-01-05", 8, 2)], [("1988-12-24", "2010-01-05", 0, 2)],
+                     {("1988-12-24", "2010-01-05", 0, 2)}),
+    # Two different codes tell nothing.
+    ("33", "Kosma"): ([("1990-07-07", "2011-07-07", 1, 5)], [("1990-07-07", "2011-07-07", 1, 3)],
+                      {("1990-07-07", "2011-07-07", 1, None)}),
+    # Only in the second folder.
+    ("34", "Livia"): ([], [("2001-10-30", "2012-02-29", 0, 1)], {("2001-10-30", "2012-02-29", 0, 1)}),
+    # Notes more than a year apart, and no flag at all.
+    ("35", "Mirko"): ([("1963-04-09", "2008-01-20", 99, 6)], [("1964-04-09", "2010-03-20", 9, 6)],
+                      {("1963-04-09", None, None, 6), ("1964-04-09", None, None, 6)}),
+    # A missing birth and note beside known ones.
+    ("36", "Nele"): ([("1955-08-18", "2011-11-11", 0, 8)], [("", "", 0, 9)],
+                     {("1955-08-18", "2011-11-11", 0, None), (None, "2011-11-11", 0, None)}),
+    # No usable name.
+    ("37", "anonymous"): ([("1979-01-31", "2009-09-09", 1, 7)], [], {("1979-01-31", "2009-09-09", 1, 7)}),
 }
 
 
 @pytest.mark.parametrize("name_exclusion", [False, True])
 def test_client(spark, folders, name_exclusion):
-    header = "id,first_name,dob_col,time_col,bool_col,numeric"
-    root = folders({
-        "2011": {"c.csv": [header, "11,AAA,1990-01-13,1996-01-13,1,99", "12,BBB,2012-05-21,2014-05-21,99,3",
-                           "13,CCC,1850-06-14,1950-06-14,1,6", "15,EEE,1965-11-22,1985-11-22,8,0",
-                           "16,FFF,1948-09-03,1978-09-03,0,8", "17,noname,2012-03-18,2014-03-18,1,"]},
-        "2012": {"c.csv": [header, "11,AAA,1990-01-15,1996-01-15,0,5", "12,BBB,2012-05-21,2014-05-21,0,3",
-                           "13,CCC,1850-06-14,1950-06-14,1,7", "14,DDD,1975-12-08,1995-12-08,0,1",
-                           "15,EEE,1967-11-22,1987-11-22,8,0", "16,FFF,,,0,8",
-                           "17,noname,2010-03-18,2012-03-18,,6", "18,HHH,2014-04-30,2015-04-30,1,0"]},
-    })
-    files = {y: f"{root}/{y}/c.csv" for y in ("2011", "2012")}
+    header = "guest,called,born,noted,insured,origin"
+    lines = lambda k: [header] + [
+        ",".join(map(str, (*who, *row))) for who, parts in GUESTS.items() for row in parts[k]]
+    root = folders({"east": {"g.csv": lines(0)}, "west": {"g.csv": lines(1)}})
+    files = {y: f"{root}/{y}/g.csv" for y in ("east", "west")}
     source = Extracts(spark, files={"client": files}, specs={"client": CLIENT_SPEC})
     got = get_client(source, name_exclusion)
-    want = [
-        (11, "1990-01-13", "1996-01-14", 1, 5), (11, "1990-01-15", "1996-01-14", 1, 5),
-        (12, "2012-05-21", "2014-05-21", 0, 3), (13, "1850-06-14", "1950-06-14", 1, None),
-        (14, "1975-12-08", "1995-12-08", 0, 1), (15, "1965-11-22", None, None, 0),
-        (15, "1967-11-22", None, None, 0), (16, None, "1978-09-03", 0, None),
-        (16, "1948-09-03", "1978-09-03", 0, None), (17, "2010-03-18", None, 1, 6),
-        (17, "2012-03-18", None, 1, 6), (18, "2014-04-30", "2015-04-30", 1, 0),
-    ]
-    want = [(i, moment(d), moment(t), b, n) for i, d, t, b, n in want if not (name_exclusion and i == 17)]
-    assert rows(got, "id", "dob_col", "time_col", "bool_col", "numeric") == want
+    want = [(int(who[0]), moment(d), moment(t), flag, code)
+            for who, parts in GUESTS.items() for d, t, flag, code in parts[2]
+            if not (name_exclusion and who[1] == "anonymous")]
+    assert set(rows(got, "guest", "born", "noted", "insured", "origin")) == set(want)
+    assert got.count() == len(want)
 
 
 def test_client_needs_a_person(spark, folders):
     spec = {k: v for k, v in CLIENT_SPEC.items() if k != "person_ID"}
     with pytest.raises(ValueError):
-        get_client(one_table(spark, folders, "client", ["id", "1"], spec))
+        get_client(one_table(spark, folders, "client", ["guest", "31"], spec))
 
 
 def test_codes_that_agree_beside_a_null_are_still_dropped(spark):
@@ -165,21 +177,25 @@ def test_midpoint_limits(spark):
         (1, day("2001-07-02")), (2, None), (3, day("2001-01-02"))]
 
 
-DIS_SPEC = dict(STAGES, entry_stage_val=10, exit_stage_val=20, update_stage_val=30,
-                type_column="type", response_column="response", person_enrollment_ID="pid",
-                categorical_var=["response"], duplicate_check_columns=["pid", "stage", "type"])
+NEED_SPEC = dict(STAGES, entry_stage_val=3, exit_stage_val=4, update_stage_val=5,
+                 type_column="need", response_column="told", person_enrollment_ID="stay",
+                 categorical_var=["told"], duplicate_check_columns=["stay", "stage", "need"])
 
 
 def test_disabilities(spark, folders):
-    lines = ["pid,stage,type,response", "11,10,5,0", "11,10,6,1", "11,20,5,0", "11,20,6,1",
-             "12,10,5,99", "12,10,6,0", "12,20,5,0", "12,20,6,1", "13,10,5,1", "14,20,5,1"]
-    source = one_table(spark, folders, "disabilities", lines, DIS_SPEC)
-    columns = ["pid", "Physical_entry", "Physical_exit", "Developmental_entry", "Developmental_exit"]
-    want = [(11, 0, 0, 1, 1), (12, None, 0, 0, 1)]
+    """Needs 5 and 6 by stay at entry (3) and exit (4); 9 is unknown; stays without both stages vanish."""
+    told = {601: {3: (1, 0), 4: (1, 1)}, 602: {3: (9, 1), 4: (0, 0)}, 603: {3: (0, None)}, 604: {4: (None, 1)}}
+    lines = ["stay,stage,need,told"] + [
+        f"{stay},{stage},{need},{x}" for stay, stages in told.items() for stage, pair in stages.items()
+        for need, x in zip((5, 6), pair) if x is not None]
+    source = one_table(spark, folders, "disabilities", lines, NEED_SPEC)
+    columns = ["stay", "Physical_entry", "Physical_exit", "Developmental_entry", "Developmental_exit"]
+    known = lambda x: None if x == 9 else x
+    want = [(stay, known(s[3][0]), s[4][0], s[3][1], s[4][1]) for stay, s in told.items() if len(s) == 2]
     for unique in (None, False):
         assert rows(get_disabilities(source, unique=unique), *columns) == want
     with pytest.raises(ValueError):
-        get_disabilities(one_table(spark, folders, "disabilities", lines, {"person_enrollment_ID": "pid"}))
+        get_disabilities(one_table(spark, folders, "disabilities", lines, {"person_enrollment_ID": "stay"}))
 
 
 def test_disabilities_repeated_responses_multiply(spark):
@@ -205,19 +221,21 @@ def test_typed_paths_agree(spark):
     assert rows(slow, *columns) == rows(fast, *columns)
 
 
-INCOME_SPEC = dict(STAGES, person_enrollment_ID="pid", categorical_var=["income"],
-                   duplicate_check_columns=["pid", "stage", "income", "incomeAmount"],
-                   columns_to_take_max=["income", "incomeAmount"])
+WAGE_SPEC = dict(STAGES, person_enrollment_ID="stay", categorical_var=["paid"],
+                 duplicate_check_columns=["stay", "stage", "paid", "wage"], columns_to_take_max=["paid", "wage"])
 
 
 def test_income(spark, folders):
-    lines = ["pid,stage,income,incomeAmount", "11,0,1,5", "11,0,1,8", "11,1,1,12", "12,0,0,0",
-             "12,0,1,6", "12,1,,0", "12,1,1,3"]
-    source = one_table(spark, folders, "income", lines, INCOME_SPEC)
-    assert rows(get_income(source), "pid", "income_entry", "income_exit", "incomeAmount_entry",
-                "incomeAmount_exit") == [(11, 1, 1, 8, 12), (12, 1, 1, 6, 3)]
+    """The highest of several answers of a stay at each stage."""
+    answers = {801: {0: [(0, 40), (1, 25), (1, 70)], 1: [(0, 0)]}, 802: {0: [("", 15)], 1: [(1, 90), ("", 120)]}}
+    lines = ["stay,stage,paid,wage"] + [
+        f"{stay},{stage},{p},{w}" for stay, stages in answers.items() for stage, xs in stages.items() for p, w in xs]
+    source = one_table(spark, folders, "income", lines, WAGE_SPEC)
+    top = lambda xs, i: max((x[i] for x in xs if x[i] != ""), default=None)
+    want = [(stay, top(a[0], 0), top(a[1], 0), top(a[0], 1), top(a[1], 1)) for stay, a in answers.items()]
+    assert rows(get_income(source), "stay", "paid_entry", "paid_exit", "wage_entry", "wage_exit") == want
     with pytest.raises(ValueError):
-        get_income(one_table(spark, folders, "income", lines, dict(STAGES, person_enrollment_ID="pid")))
+        get_income(one_table(spark, folders, "income", lines, dict(STAGES, person_enrollment_ID="stay")))
 
 
 def test_collapse_keeps_first_of_other_columns(spark):
@@ -228,82 +246,72 @@ def test_collapse_keeps_first_of_other_columns(spark):
     assert rows(got, "k", "m", "o") == [(None, 1, "x"), (1, 9, None)]
 
 
+# Stays of five guests: (guest, stay, shelter, family, from, to, destination, kind of shelter, births with what
+# comes out, sex, served, name, needs, works, health and wage at entry and exit).
+STAYS = [
+    (501, 9001, 61, 77, "2015-02-03", "2015-04-30", 3, 2, ["1981-05-06"], "1981-05-06", 1, 0, "Ada", (0, 1), (1, 1), (2, 3), (0, 250)),
+    (502, 9002, 62, 78, "2015-03-15", "2015-09-01", 27, 13, ["1969-02-11", "2016-02-11"], "1969-02-11", 0, 1, "Bruno", (1, 1), (0, 1), (1, 1), (90, 80)),
+    (503, 9003, 61, 78, "2015-05-20", "2015-05-28", 10, 2, ["1990-09-01", "1993-09-01"], None, 1, 1, "Cleo", (0, 0), (0, 0), (3, 2), (700, 0)),
+    (504, 9004, 63, 79, "2015-08-08", "2016-01-02", 12, 1, ["1975-11-10", "1975-11-14"], "1975-11-12", 0, 0, "refused", (1, 0), (1, 0), (2, 2), (15, 16)),
+    (505, 9005, 63, 80, "2015-12-31", "2016-02-20", 20, 1, ["1820-01-01", "1948-06-30"], "1948-06-30", 1, 0, "Dario", (0, 0), (0, 1), (1, 2), (5, 4)),
+]
+
+
+def by_stage(header, place):
+    return [header] + [f"{s[1]},{stage},{s[place][stage]}" for s in STAYS for stage in (0, 1)]
+
+
 MERGE_FILES = {
-    "Enrollment.csv": ["personID,person_enrollID,programID,groupID,entrydate", "1,10,100,1000,2011-01-13",
-                       "2,20,200,2000,2011-06-10", "3,30,200,3000,2011-12-05", "4,40,100,4000,2011-09-10"],
-    "Exit.csv": ["ppid,dest_num,exitdate", "10,12,2011-08-01", "20,27,2011-12-21", "30,20,2011-12-27",
-                 "40,10,2011-11-30"],
-    "Client.csv": ["pid,dob,gender,veteran,first_name", "1,1990-03-13,0,0,AAA", "1,2012-04-16,0,0,AAA",
-                   "2,1955-08-21,1,1,noname", "2,1855-08-21,1,1,noname", "3,2001-02-16,1,0,CCC",
-                   "3,2003-02-16,1,0,CCC", "4,1983-04-04,0,0,DDD", "4,1983-04-06,0,0,DDD"],
-    "Disabilities.csv": ["person_enrollID,stage,type,response", "10,0,5,0", "10,1,5,0", "20,0,5,1",
-                         "20,1,5,1", "30,0,5,0", "30,1,5,0", "40,0,5,0", "40,1,5,1"],
-    "EmploymentEducation.csv": ["ppid,stage,employed", "10,0,0", "10,1,0", "20,0,0", "20,1,1", "30,0,1",
-                                "30,1,1", "40,0,0", "40,1,1"],
-    "HealthAndDV.csv": ["ppid,stage,health_status", "10,0,0", "10,1,0", "20,0,0", "20,1,1", "30,0,1",
-                        "30,1,1", "40,0,0", "40,1,1"],
-    "IncomeBenefits.csv": ["ppid,stage,income", "10,0,0", "10,1,0", "20,0,0", "20,1,1000", "30,0,500",
-                           "30,1,400", "40,0,0", "40,1,300"],
-    "Project.csv": ["pr_id,type", "100,1", "200,2"],
-}
+    "Enrollment.csv": ["guest,stay,shelter,family,since"] + [",".join(map(str, s[:5])) for s in STAYS],
+    "Exit.csv": ["stay,goes_to,until"] + [f"{s[1]},{s[6]},{s[5]}" for s in STAYS],
+    "Client.csv": ["guest,born,sex,served,called"] + [f"{s[0]},{b},{s[10]},{s[11]},{s[12]}" for s in STAYS for b in s[8]],
+    "Disabilities.csv": ["stay,stage,need,told"] + [f"{s[1]},{k},5,{s[13][k]}" for s in STAYS for k in (0, 1)],
+    "EmploymentEducation.csv": by_stage("stay,stage,works", 14),
+    "HealthAndDV.csv": by_stage("stay,stage,health", 15),
+    "IncomeBenefits.csv": by_stage("stay,stage,wage", 16),
+    "Project.csv": ["shelter,kind"] + [f"{a},{b}" for a, b in sorted({(s[2], s[7]) for s in STAYS if s[2] != 62} | {(62, 13)})],
+}
 MERGE_SPECS = {
-    "enrollment": {"person_enrollment_ID": "person_enrollID", "person_ID": "personID",
-                   "program_ID": "programID", "groupID_column": "groupID", "time_var": ["entrydate"],
-                   "duplicate_check_columns": ["personID", "person_enrollID", "programID", "groupID"],
-                   "entry_date": "entrydate"},
-    "exit": {"person_enrollment_ID": "ppid", "destination_column": "dest_num",
-             "duplicate_check_columns": ["ppid"], "time_var": ["exitdate"]},
-    "client": {"person_ID": "pid", "dob_column": "dob", "time_var": ["dob"],
-               "categorical_var": ["gender", "veteran"], "boolean": ["veteran"],
-               "numeric_code": ["gender"], "duplicate_check_columns": ["pid", "dob"],
-               "name_columns": ["first_name"]},
-    "disabilities": dict(STAGES, person_enrollment_ID="person_enrollID", categorical_var=["response"],
-                         type_column="type", response_column="response",
-                         duplicate_check_columns=["person_enrollID", "stage", "type"]),
-    "employment_education": dict(STAGES, person_enrollment_ID="ppid", categorical_var=["employed"],
-                                 duplicate_check_columns=["ppid", "stage"]),
-    "health_dv": dict(STAGES, person_enrollment_ID="ppid", categorical_var=["health_status"],
-                      duplicate_check_columns=["ppid", "stage"]),
-    "income": dict(STAGES, person_enrollment_ID="ppid", categorical_var=["income"],
-                   columns_to_take_max=["income"], duplicate_check_columns=["ppid", "stage"]),
-    "project": {"program_ID": "pr_id", "project_type_column": "type", "duplicate_check_columns": ["pr_id"]},
+    "enrollment": {"person_enrollment_ID": "stay", "person_ID": "guest", "program_ID": "shelter", "groupID_column": "family",
+                   "time_var": ["since"], "duplicate_check_columns": ["guest", "stay", "shelter", "family"],
+                   "entry_date": "since"},
+    "exit": {"person_enrollment_ID": "stay", "destination_column": "goes_to", "duplicate_check_columns": ["stay"],
+             "time_var": ["until"]},
+    "client": {"person_ID": "guest", "dob_column": "born", "time_var": ["born"], "categorical_var": ["sex", "served"],
+               "boolean": ["served"], "numeric_code": ["sex"], "duplicate_check_columns": ["guest", "born"],
+               "name_columns": ["called"]},
+    "disabilities": dict(STAGES, person_enrollment_ID="stay", categorical_var=["told"], type_column="need",
+                         response_column="told", duplicate_check_columns=["stay", "stage", "need"]),
+    "employment_education": dict(STAGES, person_enrollment_ID="stay", categorical_var=["works"],
+                                 duplicate_check_columns=["stay", "stage"]),
+    "health_dv": dict(STAGES, person_enrollment_ID="stay", categorical_var=["health"],
+                      duplicate_check_columns=["stay", "stage"]),
+    "income": dict(STAGES, person_enrollment_ID="stay", categorical_var=["wage"], columns_to_take_max=["wage"],
+                   duplicate_check_columns=["stay", "stage"]),
+    "project": {"program_ID": "shelter", "project_type_column": "kind", "duplicate_check_columns": ["shelter"]},
 }
 
 
 @pytest.mark.parametrize("name_exclusion", [False, True])
 def test_merge_tables(spark, folders, name_exclusion):
-    root = folders({"2011": MERGE_FILES})
-    source = Extracts(spark, data_dir=root, paths=["2011"], specs=MERGE_SPECS)
+    root = folders({"all": MERGE_FILES})
+    source = Extracts(spark, data_dir=root, paths=["all"], specs=MERGE_SPECS)
     got = merge_tables(source, groups=False, name_exclusion=name_exclusion)
-    assert set(got.columns) == {
-        "personID", "first_name", "person_enrollID", "programID", "groupID", "entrydate", "exitdate",
-        "DestinationNumeric", "DestinationDescription", "DestinationGroup", "DestinationSuccess",
-        "Subsidy", "dob", "gender", "veteran", "Physical_entry", "Physical_exit", "employed_entry",
-        "employed_exit", "health_status_entry", "health_status_exit", "income_entry", "income_exit",
-        "ProjectNumeric", "ProjectType",
-    }
-    columns = ["personID", "first_name", "person_enrollID", "groupID", "entrydate", "exitdate",
-               "DestinationNumeric", "DestinationGroup", "Subsidy", "dob", "gender", "veteran",
-               "Physical_entry", "Physical_exit", "employed_entry", "employed_exit",
-               "health_status_entry", "health_status_exit", "income_entry", "income_exit",
-               "ProjectNumeric", "ProjectType"]
-    m, sh, th = moment, "Emergency Shelter", "Transitional Housing"
-    want = [
-        (1, "AAA", 10, 1000, m("2011-01-13"), m("2011-08-01"), 12, "Temporary", False, m("1990-03-13"),
-         0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1, sh),
-        (2, "noname", 20, 2000, m("2011-06-10"), m("2011-12-21"), 27, "Temporary", False, m("1955-08-21"),
-         1, 1, 1, 1, 0, 1, 0, 1, 0, 1000, 2, th),
-        (3, "CCC", 30, 3000, m("2011-12-05"), m("2011-12-27"), 20, "Permanent", True, None,
-         1, 0, 0, 0, 1, 1, 1, 1, 500, 400, 2, th),
-        (4, "DDD", 40, 4000, m("2011-09-10"), m("2011-11-30"), 10, "Permanent", False, m("1983-04-05"),
-         0, 0, 0, 1, 0, 1, 0, 1, 0, 300, 1, sh),
-    ]
-    assert rows(got, *columns) == [w for w in want if not (name_exclusion and w[1] == "noname")]
+    columns = ["guest", "called", "stay", "family", "since", "until", "DestinationNumeric", "born", "sex", "served",
+               "Physical_entry", "Physical_exit", "works_entry", "works_exit", "health_entry", "health_exit",
+               "wage_entry", "wage_exit", "ProjectNumeric"]
+    assert set(got.columns) == {*columns, "shelter", "DestinationDescription", "DestinationGroup",
+                                "DestinationSuccess", "Subsidy", "ProjectType"}
+    want = [(s[0], s[12], s[1], s[3], moment(s[4]), moment(s[5]), s[6], moment(s[9]), s[10], s[11], *s[13], *s[14], *s[15],
+             *s[16], s[7]) for s in STAYS if not (name_exclusion and s[12] == "refused")]
+    assert rows(got, *columns) == want
+    groups = {d[0]: (d[2], d[4]) for d in DESTINATIONS}
+    assert all((r["DestinationGroup"], r["Subsidy"]) == groups[r["DestinationNumeric"]] for r in got.collect())
 
 
 def test_stage_counts(spark, folders):
-    root = folders({"2011": MERGE_FILES})
-    source = Extracts(spark, data_dir=root, paths=["2011"], specs=MERGE_SPECS)
+    root = folders({"all": MERGE_FILES})
+    source = Extracts(spark, data_dir=root, paths=["all"], specs=MERGE_SPECS)
     assert dict(rows(stage_counts(source, groups=False))) == {
-        "enrollment": 4, "exit": 4, "client": 8, "bad_dob": 2, "disabilities": 4,
-        "employment_education": 4, "health_dv": 4, "income": 4, "project": 2}
+        "enrollment": 5, "exit": 5, "client": 9, "bad_dob": 2, "disabilities": 5,
+        "employment_education": 5, "health_dv": 5, "income": 5, "project": 3}

@@ -54,54 +54,69 @@ def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([(1, 1)], "u long, v long")).count() == 0
 
 
-PEOPLE = [1, 200, 3, 100, 1, 200, 3, 100]
+def visits(seed, n=40):
+    """(row, person, group, two times), with nulls and repeats, from few values."""
+    rng = random.Random(seed)
+    some = lambda xs: None if rng.random() < 0.15 else rng.choice(xs)
+    days = [moment(f"2016-08-{d:02d}") for d in range(1, 29)]
+    return [(i, rng.randrange(25), some(range(18)), some(days), some(days)) for i in range(n)]
 
 
-def frame(spark, **columns):
-    names = ["ord", "individual_var", *columns]
-    people = columns.pop("people", PEOPLE)
-    names.remove("people") if "people" in names else None
-    data = list(zip(range(len(people)), people, *columns.values()))
-    kinds = {"group_var": "long"}
-    schema = "ord long, individual_var long, " + ", ".join(
-        f"{c} {kinds.get(c, 'timestamp')}" for c in columns)
-    return spark.createDataFrame(data, schema)
+def frame(spark, data):
+    return spark.createDataFrame(data, "ord long, guest long, room long, came timestamp, left timestamp")
+
+
+def meetings(data, column):
+    """Pairs of people with an equal, known value, and how many values they share."""
+    shared = {}
+    for a, b in itertools.permutations(data, 2):
+        if a[1] < b[1] and a[column] is not None and a[column] == b[column]:
+            shared.setdefault((a[1], b[1]), set()).add(a[column])
+    return {pair: len(values) for pair, values in shared.items()}
+
+
+def numbered(data, pairs):
+    """Components of the people, numbered as their rows appear."""
+    root = brute_components([(r[1], r[1]) for r in data] + sorted(pairs))
+    number = {}
+    return [number.setdefault(root[r[1]], len(number) + 1) for r in data]
 
 
 def clusters(df, **kw):
-    out = cluster(df, "individual_var", order="ord", **kw)
+    out = cluster(df, "guest", order="ord", **kw)
     return [r["cluster"] for r in out.orderBy("ord").collect()]
 
 
-def test_groups(spark):
-    df = frame(spark, group_var=[1, 1, 2, 2, 1, 2, 1, 2])
-    assert rows(groups_co_occurrence(df, "individual_var", "group_var")) == [
-        (1, 200, 1), (1, 3, 1), (100, 200, 1), (3, 100, 1), (3, 200, 2)]
-    assert clusters(df, group="group_var") == [1] * 8
-    df = frame(spark, people=[1, 2, 3, 4] * 2, group_var=[1, 1, 3, 3, 1, 1, 3, 3])
-    assert clusters(df, group="group_var") == [1, 1, 2, 2, 1, 1, 2, 2]
+def pairs_of(df):
+    return {(a, b): n for a, b, n in rows(df)}
 
 
-A, B = moment("2001-01-13"), moment("2003-06-10")
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups(spark, seed):
+    data = visits(seed)
+    df = frame(spark, data)
+    want = meetings(data, 2)
+    assert pairs_of(groups_co_occurrence(df, "guest", "room")) == want
+    assert clusters(df, group="room") == numbered(data, want)
 
 
-def test_times(spark):
-    df = frame(spark, time_var1=[A, A, B, B] * 2, time_var2=[A, B, A, B] * 2)
-    assert rows(time_co_occurrence(df, "individual_var", ["time_var1"])) == [(1, 200, 1), (3, 100, 1)]
-    assert rows(time_co_occurrence(df, "individual_var", ["time_var1", "time_var2"])) == [
-        (1, 200, 1), (1, 3, 1), (100, 200, 1), (3, 100, 1)]
-    assert clusters(df, times=["time_var1"]) == [1, 1, 2, 2, 1, 1, 2, 2]
-    assert clusters(df, times=["time_var1", "time_var2"]) == [1] * 8
+@pytest.mark.parametrize("seed", [3, 4])
+def test_times(spark, seed):
+    data = visits(seed)
+    df = frame(spark, data)
+    came, left = set(meetings(data, 3)), set(meetings(data, 4))
+    assert pairs_of(time_co_occurrence(df, "guest", ["came"])) == dict.fromkeys(came, 1)
+    both = {pair: (pair in came) + (pair in left) for pair in came | left}
+    assert {p: min(n, 1) for p, n in pairs_of(time_co_occurrence(df, "guest", ["came", "left"])).items()} == dict.fromkeys(both, 1)
+    assert clusters(df, times=["came"]) == numbered(data, came)
+    assert clusters(df, times=["came", "left"]) == numbered(data, both)
 
 
-def test_both_and_nulls(spark):
-    people = [1, 200, 3, 100, 1, 200, 30, 1000]
-    early = moment("1999-06-10")
-    t1 = [A, A, early, early, A, A, B, B]
-    df = frame(spark, people=people, group_var=[1, 1, 4, 5, 1, 1, 3, 3], time_var1=t1)
-    assert clusters(df, group="group_var", times="time_var1") == [1, 1, 2, 2, 1, 1, 3, 3]
-    df = frame(spark, people=people, group_var=[1, 1, None, 5, 1, 1, 3, 3], time_var1=[None] + t1[1:])
-    assert clusters(df, group="group_var", times="time_var1") == [1, 1, 2, 2, 1, 1, 3, 3]
+@pytest.mark.parametrize("seed", [5, 6])
+def test_groups_and_times_together(spark, seed):
+    data = visits(seed, 24)
+    want = set(meetings(data, 2)) | set(meetings(data, 3))
+    assert clusters(frame(spark, data), group="room", times="came") == numbered(data, want)
 
 
 @pytest.mark.parametrize("delta", [0, 3, 40])

@@ -13,18 +13,19 @@ from hearthline.plans.enrollment import Extracts, get_enrollment
 from hearthline.sources.spec import TableSpec
 from hearthline.sources.tables import folder_files, read_table, resolve_files, write_stage
 
-VISITS = [
-    "id,time1,drop1,ig_dedup1,categ1",
-    "1,2001-01-13,2,5,0",
-    "1,2004-05-21,3,6,8",
-    "2,2003-06-10,4,7,0",
-    "2,2003-06-10,5,8,0",
+# Two stays of one guest; then one stay twice, of which the later row counts. Code 9 means unknown.
+STAYS = [
+    "guest,arrival,note,nights,pets",
+    "71,2017-10-02,x,3,9",
+    "71,2018-02-17,y,11,1",
+    "45,2017-12-30,z,6,0",
+    "45,2017-12-30,w,2,0",
 ]
-VISIT_SPEC = {
-    "columns_to_drop": ["drop1", "not_there"],
-    "categorical_var": ["categ1"],
-    "time_var": ["time1"],
-    "duplicate_check_columns": ["id", "time1", "categ1"],
+STAY_SPEC = {
+    "columns_to_drop": ["note", "never_there"],
+    "categorical_var": ["pets"],
+    "time_var": ["arrival"],
+    "duplicate_check_columns": ["guest", "arrival", "pets"],
 }
 
 
@@ -34,19 +35,19 @@ def test_folder_files():
 
 
 def test_read_table(spark, folders):
-    root = folders({"2011": {"t.csv": VISITS}})
-    df = read_table(spark, {"2011": f"{root}/2011/t.csv"}, **VISIT_SPEC)
-    assert df.columns == ["id", "time1", "ig_dedup1", "categ1"]
-    assert rows(df) == [
-        (1, moment("2001-01-13"), 5, 0),
-        (1, moment("2004-05-21"), 6, None),
-        (2, moment("2003-06-10"), 8, 0),
-    ]
+    root = folders({"north": {"stays.csv": STAYS}})
+    df = read_table(spark, {"north": f"{root}/north/stays.csv"}, **STAY_SPEC)
+    assert df.columns == ["guest", "arrival", "nights", "pets"]
+    assert rows(df) == sorted([
+        (71, moment("2017-10-02"), 3, None),
+        (71, moment("2018-02-17"), 11, 1),
+        (45, moment("2017-12-30"), 2, 0),
+    ], key=str)
 
 
 def test_read_table_without_dedup(spark, folders):
-    root = folders({"2011": {"t.csv": VISITS}})
-    files = {"2011": f"{root}/2011/t.csv"}
+    root = folders({"north": {"stays.csv": STAYS}})
+    files = {"north": f"{root}/north/stays.csv"}
     assert read_table(spark, files, dedup=False).count() == 4
     with pytest.warns(UserWarning):
         assert read_table(spark, files).count() == 4
@@ -118,14 +119,14 @@ def test_names(spark):
     assert rows(exclude_refused(df, ["n"])) == [(None,), ("refused",)]
 
 
-@pytest.mark.parametrize("groups,ids", [(True, [1, 1]), (False, [1, 1, 2])])
+@pytest.mark.parametrize("groups,ids", [(True, [71, 71]), (False, [45, 71, 71])])
 def test_enrollment(spark, folders, groups, ids):
-    root = folders({"2011": {"t.csv": VISITS}})
-    spec = dict(VISIT_SPEC, groupID_column="id", person_enrollment_ID="id", person_ID="id",
-                program_ID="id", entry_date="time1")
-    source = Extracts(spark, files={"enrollment": {"2011": f"{root}/2011/t.csv"}},
+    root = folders({"north": {"stays.csv": STAYS}})
+    spec = dict(STAY_SPEC, groupID_column="guest", person_enrollment_ID="guest", person_ID="guest",
+                program_ID="guest", entry_date="arrival")
+    source = Extracts(spark, files={"enrollment": {"north": f"{root}/north/stays.csv"}},
                       specs={"enrollment": spec})
-    assert [r["id"] for r in get_enrollment(source, groups).collect()] == ids
+    assert sorted(r["guest"] for r in get_enrollment(source, groups).collect()) == ids
 
 
 def test_spec_is_immutable_and_checks_roles():
