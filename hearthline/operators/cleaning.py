@@ -20,6 +20,15 @@ NAME_EXCLUSION = (
 REFUSED_WORDS = ("REFUSED", "ANONYMOUS")
 
 
+# Tried in turn after ISO texts: month first with and without a time of day, compact, named months,
+# and the day first where the month cannot be.
+TIME_FORMATS = (
+    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "M/d/yy",
+    "M/d/yy H:mm", "M-d-yyyy", "yyyyMMdd", "yyyy/M/d", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy",
+    "d/M/yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss",
+)
+
+
 def strip_bom(df: DataFrame) -> DataFrame:
     """Take one leading zero-width no-break space off every column name."""
     return df.toDF(*[c[1:] if c.startswith("﻿") else c for c in df.columns])
@@ -50,11 +59,12 @@ def coerce_times(
     df: DataFrame,
     columns: Sequence[str],
     kind: str = "timestamp",
-    formats: Sequence[str] = ("M/d/yyyy",),
+    formats: Sequence[str] = TIME_FORMATS,
 ) -> DataFrame:
     """Parse the columns as times; what cannot be parsed becomes null.
 
-    ISO texts are tried first, then ``formats``; a bare year is its first of January.
+    ISO texts are tried first, then ``formats`` in their order, so an ambiguous day and month are
+    read month first. A bare year is its first of January; two digits of a year mean 2000 to 2099.
     """
     _require(df, columns)
     kinds = dict(df.dtypes)
@@ -63,8 +73,9 @@ def coerce_times(
         column = F.col(f"`{name}`")
         if kinds[name] in ("date", "timestamp", "timestamp_ntz"):
             return column.cast(kind)
-        text = column.cast("string")
-        tries = [text.try_cast("timestamp")]
+        text = F.trim(column.cast("string"))
+        compact = text.rlike("^[0-9]{5,}$")  # else taken for a year of so many digits
+        tries = [F.when(~compact, text.try_cast("timestamp"))]
         tries += [F.try_to_timestamp(text, F.lit(f)) for f in formats]
         return F.coalesce(*tries).cast(kind)
 

@@ -75,7 +75,8 @@ def scan_folders(
     frames = []
     for place, path in enumerate(entries[-1:] + entries[:-1]):
         reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-        reader = reader.option("multiLine", multi_line)
+        # Files of one folder whose headers differ are an error, never read by position.
+        reader = reader.option("multiLine", multi_line).option("enforceSchema", False)
         if encoding:
             reader = reader.option("encoding", encoding)
         raw = reader.csv(path)
@@ -126,18 +127,29 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast text columns; a number written as 3.0 still casts to bigint, other misfits give null."""
-    casts = {}
-    for name, kind in types.items():
-        if name not in df.columns:
-            continue
-        text = F.col(f"`{name}`")
-        if kind in ("bigint", "int"):
-            casts[name] = F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
-        else:
-            casts[name] = text.try_cast(kind)
+    casts = {name: _cast(name, kind) for name, kind in types.items() if name in df.columns}
     return df.withColumns(casts) if casts else df
 
 
+def _cast(name: str, kind: str) -> Column:
+    text = F.col(f"`{name}`")
+    if kind not in ("bigint", "int"):
+        return text.try_cast(kind)
+    number = text.try_cast("double")
+    exact = F.when(number == F.floor(number), number.try_cast(kind))
+    return F.when(text.contains(".") | F.lower(text).contains("e"), exact).otherwise(text.try_cast(kind))
+
+
+def count_misfits(df: DataFrame, types: Mapping[str, str]) -> dict[str, int]:
+    """How many known texts of each typed column do not fit its type and would become null."""
+    listed = [n for n in types if n in df.columns]
+    if not listed:
+        return {}
+    misfit = [F.count_if(F.col(f"`{n}`").isNotNull() & _cast(n, types[n]).isNull()).alias(f"m{i}") for i, n in enumerate(listed)]
+    row = df.agg(*misfit).first()
+    return {n: row[f"m{i}"] for i, n in enumerate(listed)}
+
+
 def read_spec(
     spark: SparkSession,
     files: Mapping,

@@ -11,7 +11,15 @@ from hearthline.operators.cleaning import (
 from hearthline.operators.dedup import keep_first, keep_last
 from hearthline.plans.enrollment import Extracts, get_enrollment
 from hearthline.sources.spec import TableSpec
-from hearthline.sources.tables import folder_files, read_table, resolve_files, write_stage
+from hearthline.sources.tables import (
+    apply_types,
+    count_misfits,
+    folder_files,
+    read_table,
+    resolve_files,
+    scan_folders,
+    write_stage,
+)
 
 # Two stays of one guest; then one stay twice, of which the later row counts. Code 9 means unknown.
 STAYS = [
@@ -102,13 +110,30 @@ def test_null_unknown_takes_any_number_of_codes(spark):
 
 
 def test_coerce_times(spark):
-    texts = ["2001-01-13", "1/13/2001", "junk", None, "2010", "2015-13-40"]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    spring = {
+        "2019-04-17": "2019-04-17", "4/17/2019": "2019-04-17", "4/17/2019 0:00": "2019-04-17", " 04/17/2019 9:05:30 ": "2019-04-17T09:05:30",
+        "4/17/2019 1:30 PM": "2019-04-17T13:30", "4/17/19": "2019-04-17", "17/4/2019": "2019-04-17", "20190417": "2019-04-17",
+        "Apr 17, 2019": "2019-04-17", "17 Apr 2019": "2019-04-17", "4-17-2019": "2019-04-17", "2019/4/17": "2019-04-17",
+        "3/4/2019": "2019-03-04", "2019": "2019-01-01", "2019-04-17 22:10:00": "2019-04-17T22:10", "nothing": None, None: None,
+        "2019-13-40": None, "31/31/2019": None, "": None, "99999999": None,
+    }
+    df = spark.createDataFrame(list(enumerate(spring)), "i int, t string")
     got = dict(rows(coerce_times(df, ["t"])))
-    assert got == {
-        0: moment("2001-01-13"), 1: moment("2001-01-13"), 2: None, 3: None,
-        4: moment("2010-01-01"), 5: None,
-    }
+    assert got == {i: moment(t) for i, t in enumerate(spring.values())}
+
+
+def test_types_never_cut_numbers(spark):
+    texts = ["3", "3.0", "3.7", "-4.", "1e3", "1.5e1", "9007199254740993", "x", None, " 8 "]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    got = [r.a for r in apply_types(df, {"a": "bigint", "absent": "int"}).collect()]
+    assert got == [3, 3, None, -4, 1000, 15, 9007199254740993, None, None, 8]
+    assert count_misfits(df, {"a": "bigint"}) == {"a": 2} and count_misfits(df, {}) == {}
+
+
+def test_files_of_a_folder_with_other_column_order_are_an_error(spark, folders):
+    root = folders({"a": {"1.csv": ["k,v", "1,10"], "2.csv": ["v,k", "20,2"]}})
+    with pytest.raises(Exception, match="(?i)header|column"):
+        scan_folders(spark, {"a": f"{root}/a"}).collect()
 
 
 def test_names(spark):
