@@ -307,9 +307,13 @@ def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "inter", "either"]
             )
 
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    rows = _hopeful(pairs, sets, percent).join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    hopeful = _hopeful(pairs, sets, percent)
+    # Only the sets that are needed travel.
+    met = hopeful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = written(sets.join(met, "node", "left_semi").select("node", "hashes"), "jaccard-wanted")
+    left = wanted.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+    right = wanted.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+    rows = hopeful.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return written(rows.mapInArrow(run, "a long, b long, inter long, either long"), "jaccard-measured", BATCH)
 
 

@@ -61,7 +61,7 @@ def cases(rng):
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed,common,small,percent", [(1, 32, 2_048, 80), (2, 3, 4, 80), (3, 1, 0, 60)])
+@pytest.mark.parametrize("seed,common,small,percent", [(2, 3, 4, 80), (3, 1, 0, 60)])
 def test_groups_equal_brute_force(spark, monkeypatch, seed, common, small, percent):
     monkeypatch.setattr(J, "COMMON", common)
     monkeypatch.setattr(J, "SMALL", small)
