@@ -8,14 +8,17 @@ within the radius of a pivot are linked to it, so they need not be compared with
 1. Seed regions. With all shingles in one order (those of few documents first, then by hash), two
    sets of the wanted similarity share a shingle in short prefixes. The documents that hold a
    shingle in their prefix are a seed region; every link lies within one.
-2. Each region takes a central document as pivot and measures all members' distances to it. Members
-   within the radius are linked to it. By the triangle inequality a member outside can only link to
-   members whose distance to the pivot differs from its own by no more than the radius: only they
-   are replicated into what remains of the region, which is joined again around new pivots, each
-   member going to its nearest pivot and to all in its window.
-3. What is small, or left after some rounds, is compared pair by pair within its windows.
+2. A region takes its most central document as pivot; later rounds take several. Members within the
+   radius of a pivot are linked to it, and so connected with each other. Each member goes to the cell
+   of its nearest pivot, and to every other cell whose pivot is less than two radii farther away: by
+   the triangle inequality no link then runs between members that share no cell. Pivots have met all
+   and leave; cells in which not all are connected are joined again, around new pivots.
+3. What is small, or left after some rounds, is compared pair by pair.
 4. Components of the links give the groups.
 
+Distances are measured exactly, on the sets of hashes, unless the sizes of two sets or their counts
+by cell of the hash space already keep them from linking.
+
 Every document takes part whole and no region is capped: a common shingle is only placed late in
 the order. The shingles move between tasks as packed arrays.
 """
@@ -367,7 +370,10 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             F.xxhash64("g", "b").alias("g"), "node", "n", "weight", F.when(F.col("near"), F.col("b")).otherwise(F.col("cls")).alias("cls")
         )
         unsettled = F.expr("count(*) > 1 and (count(cls) < count(*) or min(cls) <> max(cls))")
-        work = cells.groupBy("g").agg(unsettled.alias("more")).filter("more").select("g")
+        # Many shingles make the same region; one of each is enough. Its members are told by two sums of hashes.
+        told = [F.sum(F.xxhash64(F.lit(i), "node", "cls").cast("decimal(38,0)")).alias(f"h{i}") for i in (0, 1)]
+        regions_left = cells.groupBy("g").agg(F.count("*").alias("m"), *told, unsettled.alias("more")).filter("more")
+        work = regions_left.groupBy("m", "h0", "h1").agg(F.min("g").alias("g")).select("g")
         state = written(cells.join(work, "g"), "jaccard-state")
         if state.isEmpty():
             break
