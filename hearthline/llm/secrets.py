@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and sliding-window entropy over candidate strings.
 
-A candidate is an unbroken run of the characters that keys are written in. Its class (hexadecimal,
-alphanumeric, base64) sets the window's entropy limit. The counts of a window's characters are
-kept while it slides, so that each step costs two updates. Windows at or above the limit are
-united to spans. The allow-list drops candidates that are known to be harmless.
+A candidate is an unbroken run of the characters that keys are written in. Within it, every maximal
+stretch of one class (hexadecimal, alphanumeric, base64) has its windows held against the class's own
+entropy limit, so a name or mark in front of a key does not lift the key's limit; one window at or
+above it makes the whole stretch a span. Windows across "=" count by the class of the run. The counts
+of a window's characters are kept while it slides, so that each step costs two updates. The
+allow-list drops candidates and stretches that are known to be harmless.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ ALLOWED = (
     r"(?:[A-Za-z]+[/_-])+[A-Za-z]*[0-9]{0,4}",
 )
 
+#: Maximal stretches by class; "=" joins a name to its value or pads.
+STRETCHES = {"hex": re.compile("[0-9a-fA-F]+"), "alnum": re.compile("[A-Za-z0-9]+"), "base64": re.compile("[A-Za-z0-9+/_-]+")}
+
 
 @dataclass(frozen=True)
 class EntropyRule:
@@ -96,13 +101,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def entropy_spans(text: str, rule: EntropyRule, candidate: re.Pattern, allowed: re.Pattern) -> list[tuple[int, int, int]]:
+    def harmless(run):
+        has = any(map(str.islower, run)) + any(map(str.isupper, run)) + any(map(str.isdigit, run))
+        return has < rule.least_classes or allowed.fullmatch(run)
+
     spans = []
     for m in candidate.finditer(text):
         run = m[0]
-        has = any(map(str.islower, run)) + any(map(str.isupper, run)) + any(map(str.isdigit, run))
-        if has < rule.least_classes or allowed.fullmatch(run):
+        if harmless(run):
             continue
-        spans += [(m.start() + a, 3, m.start() + b) for a, b in hot_windows(run, rule.window, rule.limits[class_of(run)])]
+        hot = [(a, 3, b) for a, b in hot_windows(run, rule.window, rule.limits[class_of(run)])]
+        for name, stretch in STRETCHES.items():
+            for s in stretch.finditer(run):
+                if len(s[0]) >= rule.window and not harmless(s[0]) and hot_windows(s[0], rule.window, rule.limits[name]):
+                    hot.append((s.start(), 3, s.end()))
+        spans += [(m.start() + a, 3, m.start() + b) for a, b in _united(hot)]
     return spans
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -65,6 +66,20 @@ def test_scan(spark):
     assert S.scan(docs.limit(0)).count() == 0
 
 
+def test_a_prefix_hides_no_hex_key(spark):
+    rng = random.Random(5)
+    heads = ["", "APP_KEY=", "id=", "KEY", "a/b/", "x-", "session_token_id="]
+    keys = ["".join(rng.choices("0123456789ABCDEF", k=n)) for n in (32, 40, 64) for _ in range(30)]
+    rows = [(i, f"see {h}{k} end") for i, (h, k) in enumerate((h, k) for h in heads for k in keys)]
+    rows += [(-1, "see id=20240102030405060798 end")]
+    got = {r.doc_id: r for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (h, k) in enumerate((h, k) for h in heads for k in keys):
+        at = 4 + len(h)
+        assert any(s.start <= at and s.end >= at + len(k) for s in got[i].spans), rows[i]
+        assert got[i].redacted.endswith("[SECRET] end")
+    assert [s.kind for s in got[-1].spans] == ["hex"], "numbers reach no entropy limit of their own"
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     given = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
