@@ -3,11 +3,14 @@
 The library's byte-level pre-tokenisation costs far more than looking up a word that was seen
 before. So the texts of a batch are cut into pre-tokens at once by numpy, which asks the library
 what kind a character is; every distinct pre-token is encoded by the library's model, and its ids
-are kept for the next batches. The ids equal those of encoding the whole texts.
+are kept for the next batches. Texts are parted at the tokenizer's added tokens first. The ids equal
+those of encoding the whole texts.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from .shingles import _power, mixed
@@ -28,20 +31,30 @@ def byte_letters() -> dict[int, str]:
 
 
 class CachedEncoder:
-    """``path`` names a tokenizer whose only pre-tokeniser is byte-level with its usual pattern."""
+    """``path`` names a tokenizer whose only pre-tokeniser is byte-level with its usual pattern.
+
+    ``encode_special_tokens`` is the library's switch: true spells special tokens out like other
+    text, false (the library's default) gives their own ids. Other added tokens always have theirs.
+    """
 
-    def __init__(self, path: str, kept: int = KEPT):
+    def __init__(self, path: str, kept: int = KEPT, encode_special_tokens: bool = True):
         import json
 
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         pre = spec["pre_tokenizer"] or {}
         if spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
             raise ValueError("only plain byte-level pre-tokenisation is supported")
+        added = [x for x in spec["added_tokens"] if x["content"] and not (x["special"] and encode_special_tokens)]
+        if any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
+            raise ValueError("added tokens of single words or with stripped white space are not supported")
+        self.added = {x["content"]: x["id"] for x in added}
+        # Of tokens that start at one place the longest counts.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.model, self.pre, self.kept = tokenizer.model, tokenizer.pre_tokenizer, kept
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         self.kinds = np.full(0x110000, 255, np.uint8)
@@ -97,7 +110,20 @@ class CachedEncoder:
         return begin
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text."""
+        """Ids of every text; added tokens part it, and what is between them is encoded by itself."""
+        if self.marks is None:
+            return self._plain(texts)
+        # Texts at the even places, added tokens at the odd ones.
+        parts = [self.marks.split(t) for t in texts]
+        ids = iter(self._plain([p for x in parts for p in x[::2]]))
+        return [
+            next(ids) if len(x) == 1
+            else np.concatenate([np.array([self.added[p]], np.uint32) if k % 2 else next(ids) for k, p in enumerate(x)])
+            for x in parts
+        ]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, without added tokens."""
         flat = "".join(texts)
         lengths = np.array([len(t) for t in texts], np.int64)
         if not flat:

@@ -137,14 +137,15 @@ class Reader:
 
 @functools.lru_cache(maxsize=1)
 def _encoder(path: str) -> CachedEncoder:
-    return CachedEncoder(path)
+    return CachedEncoder(path, encode_special_tokens=False)
 
 
 def write_files(docs: DataFrame, tokenizer: str, bits: int, end_id: int | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text and write the ids in ascending order of the key; returns the list of files.
 
     (shard, file, n_docs, n_ids), shards in order of their keys. Null keys come first; equal keys are
-    ordered by their texts' hashes. Null and empty texts have no ids but ``end_id`` (none if null).
+    ordered by their texts' hashes. Literals of added tokens get those tokens' ids, as the library does by
+    default. Null and empty texts have no ids but ``end_id`` (none if null).
     An empty table gives no files.
     """
     spark = docs.sparkSession

@@ -78,3 +78,16 @@ def test_files(spark, library):
     sums = {(r.key, r.start): r.crc32 for r in TF.read_checksums(files).collect()}
     assert all(sums[r.key, r.start] == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got)
     assert TF.read_files(TF.write_files(docs.limit(0), PATH, 16, 2)).count() == 0
+
+
+def test_added_tokens_as_the_library_at_its_default(spark):
+    default = Tokenizer.from_file(PATH)
+    rng = random.Random(2)
+    letters = [*"ab's <|> \n", "<|endoftext|>", "<|endoftext", " it's"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", *("".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(200))]
+    want = [x.ids for x in default.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [x.tolist() for x in CachedEncoder(PATH, encode_special_tokens=False).encode(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.key: r for r in TF.read_files(TF.write_files(docs, PATH, 16, 2)).collect()}
+    assert [got[i].ids for i in range(len(texts))] == [x + [2] for x in want]
