@@ -69,13 +69,15 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def removed_words(docs: DataFrame, host: str, text: str, max_docs: int) -> DataFrame:
-    """(__text, removed): words of every text of a host in lines that over ``max_docs`` of its texts hold.
+def removed_words(docs: DataFrame, host: str, text: str, max_docs: int, max_share: float = 0, copies: bool = False) -> DataFrame:
+    """(__text, removed): words of every text of a host in lines that too many of its documents hold.
 
-    ``__text`` is the key of a text and its host; equal texts of a host count as one document.
-    Texts without such a line are not listed.
+    Too many are over ``max_docs`` and over ``max_share`` per cent of the host's documents. ``__text``
+    is the key of a text and its host; equal texts of a host count as one document unless ``copies``
+    is set. Texts without such a line are not listed.
     """
-    lines = docs.select(_text_key(host, text).alias("__text"), F.col(host).alias("h"), F.explode_outer(F.split(text, "\n")).alias("line"))
+    key = _text_key(host, text)
+    lines = docs.select(key.alias("__text"), F.col(host).alias("h"), F.explode_outer(F.split(text, "\n")).alias("line"))
     lines = lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
         "__text",
         F.xxhash64(F.col("h").isNull(), "h", normalised(F.col("line"))).alias("line"),
@@ -83,7 +85,16 @@ def removed_words(docs: DataFrame, host: str, text: str, max_docs: int) -> DataF
     )
     # Equal rows of one text share its key; the mean over them undoes their number.
     held = written(lines.groupBy("__text", "line").agg(F.sum("w").cast("long").alias("w")), "quality-lines")
-    hot = held.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") > max_docs).select("line")
+    if max_share or copies:
+        texts = docs.groupBy(key.alias("__text")).agg(
+            F.first(F.xxhash64(F.col(host).isNull(), host)).alias("h"), (F.count("*") if copies else F.lit(1)).cast("long").alias("k")
+        )
+        texts = written(texts, "quality-texts")
+        counts = held.join(texts, "__text").groupBy("line").agg(F.first("h").alias("h"), F.sum("k").alias("n"))
+        counts = counts.filter(F.col("n") > max_docs).join(texts.groupBy("h").agg(F.sum("k").alias("all")), "h")
+        hot = counts.filter(100 * F.col("n") > max_share * F.col("all")).select("line")
+    else:
+        hot = held.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") > max_docs).select("line")
     return held.join(hot, "line").groupBy("__text").agg(F.sum("w").alias("removed"))
 
 
@@ -93,18 +104,20 @@ def _text_key(host: str, text: str) -> Column:
 
 def judge(
     docs: DataFrame, host: str = "source", text: str = "text", max_docs: int = 100, min_share: int = 50, min_words: int = 10,
-    max_repeat: int = 20,
+    max_repeat: int = 20, max_share: float = 0, copies: bool = False,
 ) -> DataFrame:
     """Add the statistics, ``base_failed``, ``n_left`` (words outside boilerplate lines) and ``kept``.
 
     ``base_failed``: under ``min_words`` words, or over ``max_repeat`` per cent of them in repeated
     windows. A document is depleted, and not kept, if lines that over ``max_docs`` distinct texts of
-    its host hold leave it under ``min_words`` words or under ``min_share`` per cent. Null hosts form
-    one host. Null and empty texts fail the base. Repeated rows are judged alike.
+    its host hold leave it under ``min_words`` words or under ``min_share`` per cent. With
+    ``max_share`` they must also be over that percentage of the host's texts, so that ``max_docs``
+    can be a small floor for hosts of any size; with ``copies`` every document counts, equal texts
+    too. Null hosts form one host. Null and empty texts fail the base. Repeated rows are judged alike.
     """
     stats = text_statistics(docs.withColumn("__text", _text_key(host, text)), text)
-    copies = stats.groupBy("__text").agg(F.count("*").alias("__copies"))
-    removed = removed_words(docs, host, text, max_docs).join(copies, "__text")
+    rows = stats.groupBy("__text").agg(F.count("*").alias("__copies"))
+    removed = removed_words(docs, host, text, max_docs, max_share, copies).join(rows, "__text")
     removed = removed.select("__text", (F.col("removed") / F.col("__copies")).cast("long").alias("__removed"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("__removed", F.lit(0))
