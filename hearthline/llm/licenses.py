@@ -13,8 +13,10 @@ with none, so they leave before the MinHash values are computed; nothing else is
 
 from __future__ import annotations
 
+import json
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ SHINGLE, SEGMENT = 3, 8
 MISS = 1e-4
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 
-# Public notices (short lines, and the grants that head the licenses' texts).
+# Public notices (short lines, and the grants that head the licenses' texts), and those of the data file:
+# standard headers, passages that tell a license's own text, names of the Creative Commons licenses, SPDX lines.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0-notice", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
@@ -38,7 +41,7 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License"),
     ("MIT-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
      "documentation files, to deal in the Software without restriction"),
-)
+) + tuple(map(tuple, json.loads(Path(__file__).with_name("license_notices.json").read_text(encoding="utf-8"))))
 
 
 def words_of(text: Column) -> Column:
