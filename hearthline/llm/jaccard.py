@@ -320,10 +320,11 @@ def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return written(rows.mapInArrow(run, "a long, b long, inter long, either long"), "jaccard-measured", BATCH)
 
 
-def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(regions: DataFrame, sets: DataFrame, percent: int, every: bool = False) -> DataFrame:
     """(a, b): links that connect all that the regions connect; ``regions`` has g, node, n and held.
 
-    ``cls`` marks members that are known to be connected with one another, by the pivot whose ball
+    With ``every`` all links between distinct sets are given: members of one ball are compared with
+    each other too, and no cell counts as settled. ``cls`` marks members that are known to be connected with one another, by the pivot whose ball
     they lie in; pairs of one class need no comparison.
     """
     eps = 1 - percent / 100 + 1e-9
@@ -339,7 +340,7 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             one = state.join(small, "g").select("g", "node", "n", "cls")
             two = one.select("g", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("cls").alias("cb"))
             sized = F.expr(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
-            apart = F.col("cls").isNull() | F.col("cb").isNull() | (F.col("cls") != F.col("cb"))
+            apart = F.lit(every) | F.col("cls").isNull() | F.col("cb").isNull() | (F.col("cls") != F.col("cb"))
             pairs = one.join(two, "g").filter((F.col("node") < F.col("b")) & sized & apart)
             found = _measured(pairs.select(F.col("node").alias("a"), "b").distinct(), sets, percent)
             links.append(found.filter(linked).select("a", "b"))
@@ -369,7 +370,7 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         cells = placed.select(
             F.xxhash64("g", "b").alias("g"), "node", "n", "weight", F.when(F.col("near"), F.col("b")).otherwise(F.col("cls")).alias("cls")
         )
-        unsettled = F.expr("count(*) > 1 and (count(cls) < count(*) or min(cls) <> max(cls))")
+        unsettled = F.expr("count(*) > 1" + " and (count(cls) < count(*) or min(cls) <> max(cls))" * (not every))
         # Many shingles make the same region; one of each is enough. Its members are told by two sums of hashes.
         told = [F.sum(F.xxhash64(F.lit(i), "node", "cls").cast("decimal(38,0)")).alias(f"h{i}") for i in (0, 1)]
         regions_left = cells.groupBy("g").agg(F.count("*").alias("m"), *told, unsettled.alias("more")).filter("more")
@@ -383,8 +384,8 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return out.distinct()
 
 
-def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """(key, th, n_shingles, component_id, stays) for every row of ``docs``; ``th`` is the hash of its text.
+def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, count_links: bool = False) -> DataFrame:
+    """(key, th, n_shingles, component_id, stays[, n_links]) for every row of ``docs``; ``th`` is the hash of its text.
 
     Two documents link when their sets of distinct five-word shingles have a Jaccard similarity of
     ``percent`` per cent or more. ``component_id`` is the smallest key reachable by links, the own
@@ -392,6 +393,10 @@ def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     key. A text of under five words is one shingle. A null key takes part, but names a component
     only if all keys in it are null. Repeated rows have one set and share a component. ``stays`` is
     true for one (key, th) of each component, the smallest. An empty table gives an empty result.
+
+    With ``count_links`` comes ``n_links``: the number of other rows that the row links with, copies
+    included. Every link between distinct sets is then measured, which costs as many comparisons as
+    there are links at least; without it members of a pivot's ball are not compared.
     """
     for seed in range(10):
         nodes = written(_nodes(docs, key, text, seed), "jaccard-nodes", BATCH)
@@ -403,7 +408,16 @@ def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     parts, common = _common(docs, text, seed)
     regions = _seed_regions(docs, text, seed, percent, parts, common)
     sets = _sets(docs, nodes, regions.select("node").distinct(), text, seed)
-    components = connected_components(_links(regions, sets, percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    links = _links(regions, sets, percent, count_links)
+    components = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    if count_links:
+        rows = nodes.filter("node is not null").groupBy("node").agg(F.count("*").alias("k"))
+        # A pair of two regions may come in both orders.
+        ends = links.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("to")))
+        others = ends.distinct().join(rows.withColumnRenamed("node", "to"), "to").groupBy("node").agg(F.sum("k").alias("m"))
+        # Rows of one set link with each other, and with every row of a linked set.
+        linked = rows.join(others, "node", "left").select("node", (F.col("k") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"))
+        nodes = written(nodes.join(linked, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long")), "jaccard-counted", BATCH)
     rooted = nodes.join(components, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = written(rooted, "jaccard-rooted")
     first = F.min(F.struct(F.col("key").isNull().alias("z"), "key", "th"))
@@ -411,6 +425,7 @@ def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return rooted.join(named, "root", "left").select(
         "key", "th", "n_shingles", F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("th") == F.col("first.th")), F.lit(True)).alias("stays"),
+        *(["n_links"] if count_links else []),
     )
 
 

@@ -83,6 +83,28 @@ def test_groups_equal_brute_force(spark, monkeypatch, seed, common, small, perce
     assert sorted(k for k in kept if k is not None and not sizes[k]) == sorted(k for k, t in rows if k is not None and not shingle_set(t))
 
 
+@pytest.mark.parametrize("seed,common,small,percent", [(2, 3, 4, 80), (3, 1, 0, 60)])
+def test_every_link_is_counted(spark, monkeypatch, seed, common, small, percent):
+    monkeypatch.setattr(J, "COMMON", common)
+    monkeypatch.setattr(J, "SMALL", small)
+    rng = random.Random(seed)
+    rows = cases(rng)
+    base = [f"q{k}" for k in range(200)]  # one ball: all near the same text and one another
+    rows += [(len(rows) + i, " ".join(near(rng, base, 1))) for i in range(25)]
+    sets = [shingle_set(t) for _, t in rows]
+    want = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                want[i] += 1
+                want[j] += 1
+    got = J.similarity_groups(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent, count_links=True).collect()
+    assert {r.key: r.n_links for r in got} == dict(zip([k for k, _ in rows], want))
+    groups = brute(rows, percent)
+    assert all(r.component_id == groups[r.key] for r in got)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert J.similarity_groups(docs).count() == 0 and J.one_of_each(docs).count() == 0
