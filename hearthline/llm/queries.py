@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL where SQL can say it."""
 
+from .alignment import op13_token_alignment
 from .bpe import op2_byte_bpe
 from .jaccard import op10_jaccard_join
 from .language import op1_language_id
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_token_alignment": op13_token_alignment,
 }
 SQL: dict[str, str] = {
     "op3_url_filter": URL_SQL,
