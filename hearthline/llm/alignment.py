@@ -4,15 +4,13 @@ Tokens of A (byte-level BPE on a space and the text) and of B (a sentence-piece
 which adds the space itself) are cut into groups at the byte offsets where tokens of both end. Every
 token of A in a group is linked with every token of B in it.
 
-A token never crosses a place where a space or line feed follows a visible character, neither in A,
-whose pre-tokens end there, nor in B, whose vocabulary has no piece across it. So texts are parted
-there, each distinct segment is encoded and aligned once in a task, and a text is the sequence of its
-segments.
-
-1. The distinct linked pairs of the corpus get a minimal perfect hash, built in buckets.
-2. Every task counts the documents of each pair in a dense vector indexed by that hash; the vectors
+1. Texts are encoded once; the ids are kept in the shared folder, so that the later passes need not
+   encode again. No token of B crosses a place where a space follows another character, or a line
+   feed, so B encodes each distinct segment between such places once in a task.
+2. The distinct linked pairs of the corpus get a minimal perfect hash, built in buckets.
+3. Every task counts the documents of each pair in a dense vector indexed by that hash; the vectors
    are summed in a tree. Keys are verified in every look-up.
-3. The documents are aligned again and look up the counts.
+4. The documents are aligned again and look up the counts.
 
 The hash, the keys and the counts are broadcast only up to ``most_pairs`` distinct pairs; beyond it
 the counts are grouped and joined.
@@ -21,8 +19,8 @@ the counts are grouped and joined.
 from __future__ import annotations
 
 import functools
-import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +31,18 @@ from pyspark.sql import types as T
 
 from .common import table, written
 from .mphf import PerfectHash, build
-from .pretokens import byte_letters
+from .pretokens import CachedEncoder, byte_letters
 
 #: Distinct pairs that are held by every task, with about 25 bytes each.
 MOST_PAIRS = 4_000_000
-#: Distinct segments and pairs of segments that a task remembers; characters aligned at once.
-KEPT_SEGMENTS, KEPT_PAIRS, AT_ONCE = 400_000, 4_000_000, 2_000_000
+#: Distinct segments that a task remembers, bytes of ids or characters taken at once, links listed at once.
+KEPT, AT_ONCE, LINKS = 400_000, 2_000_000, 2_000_000
 #: Counts in a block of a vector, and vectors summed by one task of the tree.
 BLOCK, FAN = 1 << 16, 16
-SEGMENT = re.compile(r"[ \n][^ \n]*(?:(?<=\s)[ \n][^ \n]*)*")
-_B = 1 << 20
-MARK = "▁"
+SEGMENT = re.compile(r" +[^ \n]*|\n|[^ \n]+")
+#: Bits of an id of B, and of a pair of ids.
+BITS, PAIR_BITS = 18, 36
+MARK = "\u2581"
 
 
 def _gathered(where: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -52,195 +51,263 @@ def _gathered(where: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(where - (total - size), size) + np.arange(total[-1] if len(total) else 0)
 
 
-class Segments:
-    """Aligned segments, each distinct one once; rows of it are numbered in the order of their coming."""
+def _counted_runs(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and how often each is there; ``times`` are weights of sorted keys."""
+    if times is None:
+        keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    if times is None:
+        return keys[first], np.diff(np.concatenate([first, [len(keys)]]))
+    return keys[first], np.add.reduceat(times, first) if len(first) else times
+
 
-    def __init__(self, path_a: str, path_b: str):
-        import os
+class PieceEncoder:
+    """B: ids of texts by segments, each distinct one encoded once."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        with open(path_a, encoding="utf-8") as file:
-            spec = json.load(file)
-        pre = spec["pre_tokenizer"] or {}
-        if spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
-            raise ValueError("A must be a plain byte-level tokenizer")
-        if any(not x["special"] for x in spec["added_tokens"]):
-            raise ValueError("A must have no added tokens but special ones")
-        raw = {letter: byte for byte, letter in byte_letters().items()}
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = {i: bytes(raw[c] for c in word) for word, i in vocabulary.items() if all(c in raw for c in word)}
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.bytes, pieces = piece_bytes(path)
         if any("\n" in p or re.search(rf"[^{MARK}]{MARK}", p) for p in pieces):
             raise ValueError("a piece of B crosses the end of a segment")
-        if len(self.b.encode("\n", out_type=str)) != 2:
+        if self.model.encode(" x\n", out_type=str)[0] not in (MARK, MARK * 2) or self.model.encode("\n", out_type=str)[0] != MARK:
             raise ValueError("B must add a space before the text")
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)
-        ]
-        self.top_a = max(self.bytes_a, default=0) + 1
-        self.forget()
+        self._forget()
 
-    def forget(self) -> None:
+    def _forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.facts = np.zeros((0, 5), np.int64)  # tokens of A and of B, groups, links, whether the bytes come back
-        self.where, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.written: list[str] = []
-
-    def full(self) -> bool:
-        return len(self.rows) > KEPT_SEGMENTS or len(self.pairs) > KEPT_PAIRS
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the segments of all texts together, and every text's number of segments."""
-        parts = [SEGMENT.findall(" " + t) for t in texts]
-        new = list(dict.fromkeys(s for p in parts for s in p if s not in self.rows))
-        if new:
-            self._learn(new)
-        at = self.rows.__getitem__
-        return np.array([at(s) for p in parts for s in p], np.int64), np.array([len(p) for p in parts], np.int64)
+        self.where, self.size, self.same = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.flat = np.zeros(0, np.int32)
 
     def _learn(self, new: list[str]) -> None:
-        facts, sizes, pairs, times, told = [], [], [], [], []
+        sizes, flat, same = [], [], []
         for at in range(0, len(new), 5_000):
             some = new[at : at + 5_000]
-            coded_a = self.a.encode_batch(some, add_special_tokens=False)
             # B's own space and a line feed, which stands alone, come first and go again.
-            coded_b = self.b.encode(["\n" + s for s in some], num_threads=1)
-            for segment, x, y in zip(some, coded_a, coded_b):
-                groups, same = self._aligned(segment, x.ids, y[2:])
-                codes: dict[int, int] = {}
-                for own, other in groups if same else ():
-                    for i in own:
-                        for j in other:
-                            codes[i * _B + j] = codes.get(i * _B + j, 0) + 1
-                told.append(";".join(f"{','.join(map(str, own))}|{','.join(map(str, other))}" for own, other in groups))
-                facts.append((len(x.ids), len(y) - 2, len(groups), sum(codes.values()), same))
-                sizes.append(len(codes))
-                pairs.extend(codes)
-                times.extend(codes.values())
+            for segment, ids in zip(some, self.model.encode(["\n" + s for s in some], num_threads=1)):
+                ids = ids[2:]
+                sizes.append(len(ids))
+                flat += ids
+                same.append(b"".join(map(self.bytes.__getitem__, ids)) == segment.encode())
         size = np.array(sizes, np.int64)
-        self.where = np.concatenate([self.where, len(self.pairs) + np.cumsum(size) - size])
+        self.where = np.concatenate([self.where, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-        self.times = np.concatenate([self.times, np.array(times, np.int64)])
-        self.facts = np.concatenate([self.facts, np.array(facts, np.int64).reshape(-1, 5)])
-        self.written += told
+        self.same = np.concatenate([self.same, np.array(same, bool)])
+        self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
         self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
 
-    def _aligned(self, segment: str, a: list[int], b: list[int]) -> tuple[list[tuple[list[int], list[int]]], bool]:
-        """The groups, and whether the bytes of both are the segment's."""
-        own, other = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        raw = segment.encode()
-        if b"".join(own) != raw or b"".join(other) != raw:
-            return [], False
-        groups, k, end, at = [], 0, 0, 0
-        first, first_b = 0, 0
-        for i, token in enumerate(own):
-            at += len(token)
-            while k < len(other) and end + len(other[k]) <= at:
-                end += len(other[k])
-                k += 1
-            if end == at:
-                groups.append((a[first : i + 1], b[first_b:k]))
-                first, first_b = i + 1, k
-        return groups, True
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of a space and every text, and whether their bytes are those of a space and the text."""
+        if len(self.rows) > KEPT:
+            self._forget()
+        parts = [SEGMENT.findall(" " + t) for t in texts]
+        flat = list(chain.from_iterable(parts))
+        rows = list(map(self.rows.get, flat))
+        if None in rows:
+            self._learn(list(dict.fromkeys(s for s, r in zip(flat, rows) if r is None)))
+            rows = list(map(self.rows.__getitem__, flat))
+        row = np.array(rows, np.int64)
+        n = np.array([len(p) for p in parts], np.int64)
+        ids = self.flat[_gathered(self.where[row], self.size[row])]
+        of = np.repeat(np.arange(len(texts)), n)
+        whole = np.bincount(of[~self.same[row]], minlength=len(texts)) == 0
+        return np.split(ids, np.cumsum(np.bincount(of, self.size[row], len(texts)).astype(np.int64))[:-1]), whole
+
+
+@functools.lru_cache(maxsize=2)
+def piece_bytes(path: str) -> tuple[list[bytes], list[str]]:
+    """Bytes and names of the pieces of B by id."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    return [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)], pieces
+
+
+@functools.lru_cache(maxsize=2)
+def letter_bytes(path: str) -> list[bytes]:
+    """Bytes of the entries of A by id."""
+    from tokenizers import Tokenizer
+
+    raw = {letter: byte for byte, letter in byte_letters().items()}
+    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+    if set(raw) - set(vocabulary):
+        raise ValueError("A lacks some bytes")
+    out = [b""] * (max(vocabulary.values()) + 1)
+    for word, i in vocabulary.items():
+        if all(c in raw for c in word):
+            out[i] = bytes(raw[c] for c in word)
+    return out
 
 
 @functools.lru_cache(maxsize=1)
-def _segments(path_a: str, path_b: str) -> Segments:
-    return Segments(path_a, path_b)
+def _encoders(path_a: str, path_b: str) -> tuple[CachedEncoder, PieceEncoder]:
+    return CachedEncoder(path_a, kept=KEPT, encode_special_tokens=True), PieceEncoder(path_b)
 
 
-class _Aligned:
-    """Aligned texts of a slice: their segments, and which texts have tokens at all."""
-
-    def __init__(self, segments: Segments, texts: list[str | None]):
-        self.segments = segments
-        rows, n = segments.of([t or "" for t in texts])
-        doc = np.repeat(np.arange(len(texts)), n)
-        good = np.bincount(doc, segments.facts[rows, 4] == 0, minlength=len(texts)) == 0
-        self.whole = good & np.array([bool(t) for t in texts], bool)
-        kept = self.whole[doc]
-        self.rows, self.doc, self.n = rows[kept], doc[kept], len(texts)
-
-    def totals(self, of_segment: np.ndarray) -> np.ndarray:
-        """Sums of a figure of the segments by text, exactly."""
-        sums = np.concatenate([[0], np.cumsum(of_segment[self.rows])])
-        edges = np.searchsorted(self.doc, np.arange(self.n + 1))
-        return sums[edges[1:]] - sums[edges[:-1]]
-
-    def pairs_of_texts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Text and place in the segments' pairs, for every distinct segment of a text."""
-        both = np.unique(self.doc * np.int64(len(self.segments.size)) + self.rows)
-        doc, row = both // len(self.segments.size), both % len(self.segments.size)
-        size = self.segments.size[row]
-        return np.repeat(doc, size), _gathered(self.segments.where[row], size)
+@functools.lru_cache(maxsize=1)
+def _lengths(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of every id of A and B."""
+    sizes = [np.array([len(x) for x in words], np.int64) for words in (letter_bytes(path_a), piece_bytes(path_b)[0])]
+    if max(map(len, sizes)) > 1 << BITS:
+        raise ValueError("a vocabulary is too large for pairs of ids in one number")
+    return sizes[0], sizes[1]
 
 
-def _runs(path_a: str, path_b: str, batches, column: int):
-    """(batch slice, its aligned texts) over all batches; the memory starts anew where it is full."""
-    segments = _segments(path_a, path_b)
+def _slices(batches, sizes):
+    """Parts of Arrow batches of bounded size, a larger row alone; ``sizes`` gives the rows' sizes."""
     for batch in batches:
-        texts = batch.column(column)
-        sizes = [len(t) if t else 0 for t in texts.to_pylist()]
-        at = 0
+        size, at = sizes(batch), 0
         while at < batch.num_rows:
-            stop, held = at + 1, sizes[at]
-            while stop < batch.num_rows and held + sizes[stop] <= AT_ONCE:
-                held += sizes[stop]
+            stop, held = at + 1, size[at]
+            while stop < batch.num_rows and held + size[stop] <= AT_ONCE:
+                held += size[stop]
                 stop += 1
-            part = batch.slice(at, stop - at)
-            yield part, _Aligned(segments, part.column(column).to_pylist())
+            yield batch.slice(at, stop - at)
             at = stop
-            if segments.full():
-                segments.forget()
 
 
-def _distinct_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(code): the distinct linked pairs of all texts, as A's id * 2^20 + B's id."""
+def _encoded(docs: DataFrame, text: str, kept: list[str], path_a: str, path_b: str) -> DataFrame:
+    """The kept columns, and the ids of A and of B as packed numbers; none for texts without tokens."""
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("__a", T.BinaryType()), T.StructField("__b", T.BinaryType())])
+    kind = "<u2" if max(map(len, _lengths(path_a, path_b))) <= 1 << 16 else "<u4"
+
+    def run(batches):
+        a, b = _encoders(path_a, path_b)
+        for part in _slices(batches, lambda x: [len(t) if t else 0 for t in x.column(len(kept)).to_pylist()]):
+            texts = [t or "" for t in part.column(len(kept)).to_pylist()]
+            other, whole = b.encode(texts)
+            own = a.encode([" " + t if ok and t else "" for t, ok in zip(texts, whole)])
+            good = [bool(t) and ok for t, ok in zip(texts, whole)]
+            blobs = [pa.array([x.astype(kind).tobytes() if ok else b"" for x, ok in zip(ids, good)], pa.binary()) for ids in (own, other)]
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *blobs], names=[f.name for f in schema.fields])
+
+    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
+    return written(given.mapInArrow(run, schema), "alignment-ids", compression="zstd")
+
+
+class _Aligned:
+    """The groups of some texts, from their packed ids."""
+
+    def __init__(self, a: pa.Array, b: pa.Array, path_a: str, path_b: str):
+        sizes = _lengths(path_a, path_b)
+        kind = "<u2" if max(map(len, sizes)) <= 1 << 16 else "<u4"
+        self.n = len(a)
+        ids, doc, ends = [], [], []
+        for column, size in zip((a, b), sizes):
+            blobs = column.to_pylist()
+            own = np.frombuffer(b"".join(blobs), kind).astype(np.int64)
+            ids.append(own)
+            doc.append(np.repeat(np.arange(self.n), [len(x) // np.dtype(kind).itemsize for x in blobs]))
+            ends.append(np.cumsum(size[own]))
+        self.a, self.b = ids
+        self.doc_a, self.doc_b = doc
+        total = int(ends[0][-1]) if len(ends[0]) else 0
+        if total != (int(ends[1][-1]) if len(ends[1]) else 0):
+            raise RuntimeError("the tokens of A and B cover different bytes")
+        mark = np.zeros(total + 1, np.uint8)
+        for e in ends:
+            mark[e] += 1
+        # Both tokenizers end at the end of a text, so groups never span texts.
+        self.last = [mark[e] == 2 for e in ends]
+        self.group = [np.cumsum(x) - x for x in self.last]
+        self.doc_of_group = doc[0][self.last[0]]
+        self.in_group = [np.bincount(g, minlength=len(self.doc_of_group)) for g in self.group]
+
+    def facts(self) -> list[np.ndarray]:
+        """Numbers of tokens of A and of B, of groups and of links, by text."""
+        links = self.in_group[0] * self.in_group[1]
+        total = np.concatenate([[0], np.cumsum(links)])
+        edges = np.searchsorted(self.doc_of_group, np.arange(self.n + 1))
+        count = lambda x: np.bincount(x, minlength=self.n)
+        return [count(self.doc_a), count(self.doc_b), count(self.doc_of_group), total[edges[1:]] - total[edges[:-1]]]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct numbers of text and pair of ids, and how many links each stands for."""
+        size = self.in_group[1][self.group[0]]
+        first = (np.cumsum(self.in_group[1]) - self.in_group[1])[self.group[0]]
+        done = np.concatenate([[0], np.cumsum(size)])
+        keys, times, at = [], [], 0
+        while at < len(size):
+            stop = max(at + 1, int(np.searchsorted(done, done[at] + LINKS, side="right")) - 1)
+            own = (self.doc_a[at:stop] << PAIR_BITS) | (self.a[at:stop] << BITS)
+            key, n = _counted_runs(np.repeat(own, size[at:stop]) | self.b[_gathered(first[at:stop], size[at:stop])])
+            keys.append(key)
+            times.append(n)
+            at = stop
+        if len(keys) < 2:
+            return (keys[0], times[0]) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        key, n = np.concatenate(keys), np.concatenate(times)
+        order = np.argsort(key, kind="stable")
+        return _counted_runs(key[order], n[order])
+
+    def written(self) -> list[str]:
+        """The groups of every text as a string."""
+        both = np.concatenate([self.a, self.b])
+        side = np.repeat([0, 1], [len(self.a), len(self.b)])
+        # A comma follows a token; a bar the last one of A in a group, a semicolon the last one of B.
+        mark = np.where(np.concatenate(self.last), side + 1, 0)
+        order = np.argsort(2 * np.concatenate(self.group) + side, kind="stable")
+        size = len(_marked()) // 3
+        names = list(map(_marked().__getitem__, (mark * size + both)[order].tolist()))
+        edges = np.cumsum(np.bincount(np.concatenate([self.doc_a, self.doc_b]), minlength=self.n))
+        return ["".join(names[a:b])[:-1] for a, b in zip([0, *edges.tolist()], edges.tolist())]
+
+
+@functools.lru_cache(maxsize=1)
+def _marked() -> list[str]:
+    """Decimal ids, followed by each of the three marks."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(1 << BITS)]
+
+
+def _runs(path_a: str, path_b: str, batches, column: int):
+    """(part of a batch, its aligned texts); the ids of A are in ``column``, those of B in the next one."""
+    sizes = lambda x: [len(a) for a in x.column(column).to_pylist()]
+    for part in _slices(batches, sizes):
+        yield part, _Aligned(part.column(column), part.column(column + 1), path_a, path_b)
+
+
+def _codes(keys: np.ndarray) -> np.ndarray:
+    return keys & ((1 << PAIR_BITS) - 1)
+
+
+def _distinct_pairs(ids: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """(code): the distinct linked pairs of all texts."""
 
     def run(batches):
-        held = np.zeros(0, np.int64)
-        seen: np.ndarray = np.zeros(0, bool)
-        segments = _segments(path_a, path_b)
+        held, more = np.zeros(0, np.int64), []
         for _, texts in _runs(path_a, path_b, batches, 0):
-            fresh = np.unique(texts.rows)
-            if len(seen) < len(segments.size):
-                seen = np.concatenate([seen, np.zeros(len(segments.size) - len(seen), bool)])
-            fresh = fresh[~seen[fresh]]
-            seen[fresh] = True
-            held = np.union1d(held, segments.pairs[_gathered(segments.where[fresh], segments.size[fresh])])
-            if segments.full():  # the rows that follow are numbered anew
-                seen = np.zeros(0, bool)
-            if len(held) > KEPT_PAIRS:
-                yield pa.RecordBatch.from_arrays([pa.array(held)], names=["code"])
-                held = np.zeros(0, np.int64)
+            more.append(_counted_runs(_codes(texts.pairs()[0]))[0])
+            if sum(map(len, more)) > LINKS:
+                held, more = _counted_runs(np.concatenate([held, *more]))[0], []
+                if len(held) > LINKS:
+                    yield pa.RecordBatch.from_arrays([pa.array(held)], names=["code"])
+                    held = np.zeros(0, np.int64)
+        held = _counted_runs(np.concatenate([held, *more]))[0]
         yield pa.RecordBatch.from_arrays([pa.array(held)], names=["code"])
 
-    return docs.mapInArrow(run, "code long").distinct()
+    return ids.mapInArrow(run, "code long").distinct()
 
 
-def _counted(docs: DataFrame, path_a: str, path_b: str, shared, pairs: int) -> np.ndarray:
+def _slots(index: PerfectHash, codes: np.ndarray) -> np.ndarray:
+    """Verified indexes of codes; each distinct one is looked up once."""
+    distinct = _counted_runs(codes)[0]
+    slots = index.find(distinct)
+    if (slots < 0).any():
+        raise RuntimeError("a linked pair is not among the corpus's pairs")
+    return slots[np.searchsorted(distinct, codes)]
+
+
+def _counted(ids: DataFrame, path_a: str, path_b: str, shared, pairs: int) -> np.ndarray:
     """Documents of every pair, by the pair's index: dense vectors of the tasks, summed in a tree."""
 
     def count(batches):
         index: PerfectHash = shared.value
         counts = np.zeros(pairs, np.int64)
-        segments = _segments(path_a, path_b)
-        slots = np.zeros(0, np.int64)
         for _, texts in _runs(path_a, path_b, batches, 0):
-            slots = _extended(slots, segments, index)
-            doc, at = texts.pairs_of_texts()
-            both = np.unique(doc * np.int64(pairs) + _all_known(slots[at]))
-            counts += np.bincount(both % pairs, minlength=pairs)
-            if segments.full():
-                slots = np.zeros(0, np.int64)
+            codes, n = _counted_runs(_codes(texts.pairs()[0]))
+            counts[_slots(index, codes)] += n
         lot = TaskContext.get().partitionId()
         for k in range(0, pairs, BLOCK):
             if counts[k : k + BLOCK].any():
@@ -254,7 +321,7 @@ def _counted(docs: DataFrame, path_a: str, path_b: str, shared, pairs: int) -> n
         return pa.table({"block": group.column("block")[:1], "lot": group.column("lot")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     kind = "block int, lot int, counts binary"
-    sums = written(docs.mapInArrow(count, kind), "alignment-counts")
+    sums = written(ids.mapInArrow(count, kind), "alignment-counts")
     while (sums.agg(F.max("lot")).first()[0] or 0) > 0:
         fewer = sums.withColumn("lot", F.expr(f"int(lot div {FAN})"))
         sums = written(fewer.groupBy("block", "lot").applyInArrow(add, kind), "alignment-counts")
@@ -265,33 +332,20 @@ def _counted(docs: DataFrame, path_a: str, path_b: str, shared, pairs: int) -> n
     return out
 
 
-def _extended(slots: np.ndarray, segments: Segments, index: PerfectHash) -> np.ndarray:
-    """Verified indexes of all pairs that the segments hold, known up to the length of ``slots``.
-
-    Pairs that only texts without tokens hold have none: -1.
-    """
-    return np.concatenate([slots, index.find(segments.pairs[len(slots) :])])
-
-
-def _all_known(slots: np.ndarray) -> np.ndarray:
-    if (slots < 0).any():
-        raise RuntimeError("a linked pair is not among the corpus's pairs")
-    return slots
-
-
-def _fields(docs: DataFrame, more: list[tuple[str, str]]) -> tuple[T.StructType, list[str]]:
-    names = {n for n, _ in more}
-    kept = [c for c in docs.columns if c not in names]
-    extra = T._parse_datatype_string(", ".join(f"`{n}` {t}" for n, t in more))
-    return T.StructType([f for f in docs.schema.fields if f.name in set(kept)] + list(extra.fields)), kept
-
-
 FACTS = [("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("n_links", "long")]
 COUNTS = [("n_best", "long"), ("count_sum", "long")]
 
 
+def _fields(docs: DataFrame, text: str) -> tuple[T.StructType, list[str]]:
+    """Columns of the result, and those of them that come from ``docs``."""
+    new = [*FACTS, ("groups", "string"), *COUNTS]
+    kept = [c for c in docs.columns if c not in {text, *(n for n, _ in new)}]
+    extra = T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in new))
+    return T.StructType([docs.schema[c] for c in kept] + list(extra.fields)), kept
+
+
 def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", most_pairs: int = MOST_PAIRS) -> DataFrame:
-    """Add ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups``, ``n_best`` and ``count_sum``.
+    """The columns of ``docs`` but for the text, with ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups``, ``n_best``, ``count_sum``.
 
     ``groups`` lists the ids, A's and B's of a group parted by ``|``, groups by ``;``, ids by commas.
     The count of an id pair is the number of rows that hold it linked; ``count_sum`` adds it up over a
@@ -300,91 +354,59 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", most_pa
     the text, have no tokens: zeros and an empty string. Repeated rows count each. An empty table gives
     an empty result; columns of the input that bear one of the new names give way.
     """
-    texts = docs.select(F.col(f"`{text}`").alias("text"))
-    pairs = written(_distinct_pairs(texts, path_a, path_b), "alignment-pairs")
+    schema, kept = _fields(docs, text)
+    stored = _encoded(docs, text, kept, path_a, path_b)
+    ids = stored.select("__a", "__b")
+    pairs = written(_distinct_pairs(ids, path_a, path_b), "alignment-pairs")
     n = pairs.count()
     if n > most_pairs:
-        return _joined(docs, path_a, path_b, text)
+        return _joined(stored, schema, kept, path_a, path_b)
     sc = docs.sparkSession.sparkContext
     index = build(pairs, n)
     shared = sc.broadcast(index)
-    counts = _counted(texts, path_a, path_b, shared, n) if n else np.zeros(0, np.int64)
-    best = np.zeros(int((index.keys // _B).max()) + 1 if n else 0, np.int64)
-    np.maximum.at(best, index.keys // _B, counts)
-    held = sc.broadcast((counts, best))
-    schema, kept = _fields(docs, [*FACTS, ("groups", "string"), *COUNTS])
-    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
+    counts = _counted(ids, path_a, path_b, shared, n) if n else np.zeros(0, np.int64)
+    best = np.zeros(1 << BITS, np.int64)
+    np.maximum.at(best, index.keys >> BITS, counts)
+    held = sc.broadcast((counts, counts == best[index.keys >> BITS]))
 
     def run(batches):
-        index, (counts, best) = shared.value, held.value
-        segments = _segments(path_a, path_b)
-        slots = np.zeros(0, np.int64)
-        sums = np.zeros((0, 2), np.int64)
+        index, (counts, top) = shared.value, held.value
         for part, texts in _runs(path_a, path_b, batches, len(kept)):
-            before = len(slots)
-            slots = _extended(slots, segments, index)
-            used = np.unique(texts.rows)
-            _all_known(slots[_gathered(segments.where[used], segments.size[used])])
-            if n:
-                own = counts[slots[before:]]
-                weight = segments.times[before:]
-                top = own == best[np.minimum(segments.pairs[before:] // _B, len(best) - 1)]
-                row = np.repeat(np.arange(len(sums), len(segments.size)), segments.size[len(sums) :]) - len(sums)
-                more = np.zeros((len(segments.size) - len(sums), 2), np.int64)
-                np.add.at(more[:, 0], row, weight * top)
-                np.add.at(more[:, 1], row, weight * own)
-                sums = np.concatenate([sums, more])
+            keys, times = texts.pairs()
+            slots = _slots(index, _codes(keys)) if n else keys
+            edges = np.searchsorted(keys >> PAIR_BITS, np.arange(texts.n + 1))
+            sums = [np.concatenate([[0], np.cumsum(x)]) for x in ((times * top[slots], times * counts[slots]) if n else (keys, keys))]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[: len(kept)], *_told(texts), *(pa.array(texts.totals(sums[:, k] if n else segments.size * 0)) for k in (0, 1))],
+                [*part.columns[: len(kept)], *map(pa.array, texts.facts()), pa.array(texts.written(), pa.string()),
+                 *(pa.array(x[edges[1:]] - x[edges[:-1]]) for x in sums)],
                 names=[f.name for f in schema.fields],
-            )
-            if segments.full():
-                slots, sums = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+            )
 
-    return given.mapInArrow(run, schema)
+    return stored.mapInArrow(run, schema)
 
 
-def _told(texts: _Aligned) -> list[pa.Array]:
-    """The four figures of every text, and its groups as a string."""
-    segments = texts.segments
-    edges = np.searchsorted(texts.doc, np.arange(texts.n + 1)).tolist()
-    at = segments.written.__getitem__
-    names = [at(r) for r in texts.rows.tolist()]
-    groups = [";".join(names[a:b]) for a, b in zip(edges, edges[1:])]
-    return [*(pa.array(texts.totals(segments.facts[:, k])) for k in range(4)), pa.array(groups, pa.string())]
-
-
-def _joined(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataFrame:
+def _joined(stored: DataFrame, schema: T.StructType, kept: list[str], path_a: str, path_b: str) -> DataFrame:
     """``align`` for any number of distinct pairs: a row for every pair of a text, grouped and joined."""
-    schema, kept = _fields(docs, [*FACTS, ("groups", "string"), *COUNTS])
     marked = T.StructType([*schema.fields[: len(kept) + 5], *T._parse_datatype_string("__row long, __codes array<long>, __times array<long>").fields])
-    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
 
     def run(batches):
         row = TaskContext.get().partitionId() << 36
-        segments = _segments(path_a, path_b)
         for part, texts in _runs(path_a, path_b, batches, len(kept)):
-            doc, at = texts.pairs_of_texts()
-            ways = np.unique(texts.doc * np.int64(len(segments.size)) + texts.rows, return_counts=True)
-            weight = np.repeat(ways[1], segments.size[ways[0] % len(segments.size)]) * segments.times[at]
-            order = np.lexsort((segments.pairs[at], doc))
-            doc, code, weight = doc[order], segments.pairs[at][order], weight[order]
-            first = np.ones(len(doc), bool)
-            first[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
-            weight = np.add.reduceat(weight, np.flatnonzero(first)) if len(doc) else weight
-            offsets = np.searchsorted(doc[first], np.arange(texts.n + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (code[first], weight)]
+            keys, times = texts.pairs()
+            offsets = pa.array(np.searchsorted(keys >> PAIR_BITS, np.arange(texts.n + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (_codes(keys), times)]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[: len(kept)], *_told(texts), pa.array(row + np.arange(texts.n)), *lists], names=[f.name for f in marked.fields]
+                [*part.columns[: len(kept)], *map(pa.array, texts.facts()), pa.array(texts.written(), pa.string()), pa.array(row + np.arange(texts.n)), *lists],
+                names=[f.name for f in marked.fields],
             )
             row += texts.n
 
-    rows = written(given.mapInArrow(run, marked), "alignment-rows")
+    rows = written(stored.mapInArrow(run, marked), "alignment-rows")
     links = rows.select("__row", F.explode(F.arrays_zip(F.col("__codes").alias("code"), F.col("__times").alias("times"))).alias("x")).select("__row", "x.*")
-    counts = written(links.groupBy("code").agg(F.count("*").alias("count")), "alignment-counts")
-    best = counts.groupBy(F.expr(f"code div {_B}").alias("a")).agg(F.max("count").alias("best"))
-    # Each pair is one row here, so only the links are many on a key; Spark splits such partitions.
-    counts = counts.withColumn("a", F.expr(f"code div {_B}")).join(best, "a").select("code", "count", (F.col("count") == F.col("best")).alias("top"))
+    a = F.shiftright("code", BITS).alias("a")
+    counts = written(links.groupBy("code").agg(F.count("*").alias("count")), "alignment-counts").select("code", "count", a)
+    best = counts.groupBy("a").agg(F.max("count").alias("best"))
+    counts = counts.join(best, "a").select("code", "count", (F.col("count") == F.col("best")).alias("top"))
     sums = links.join(counts, "code").groupBy("__row").agg(
         F.sum(F.when(F.col("top"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum")
     )

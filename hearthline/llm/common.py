@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, label: str, batch_rows: int | None = None, compression: str | None = None) -> DataFrame:
     """Written as Parquet to the shared folder and read back: cuts the lineage, survives lost executors.
 
     ``batch_rows`` holds for the Arrow batches of this one job, where rows are wide.
@@ -31,7 +31,7 @@ def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFra
     try:
         if batch_rows:
             spark.conf.set(name, str(batch_rows))
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         if batch_rows:
             spark.conf.set(name, before)

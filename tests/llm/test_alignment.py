@@ -86,22 +86,27 @@ def test_equals_the_definition(spark, library, most):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text(st.sampled_from(" \n\tab'é▁、\r\x1c\x85\xa0.0Tthe"), max_size=40))
-def test_segments_equal_whole_texts(library, text):
-    segments = alignment._segments(A, B)
-    one = alignment._Aligned(segments, [text])
-    told = [c.to_pylist()[0] for c in alignment._told(one)]
-    want = plain([text], library)[0]
-    assert told == [*want[:4], want[6]]
+@given(st.lists(st.text(st.sampled_from(" \n\tab'é▁、\r\x1c\x85\xa0.0Tthe"), max_size=40), max_size=4))
+def test_ids_equal_the_libraries(library, texts):
+    own, other = alignment._encoders(A, B)
+    got, whole = other.encode(texts)
+    for t, ids, ok in zip(texts, got, whole):
+        assert ok == ("▁" not in t)
+        if ok and t:
+            assert ids.tolist() == library[1].encode(t)
+    for t, ids in zip(texts, own.encode([" " + t for t in texts])):
+        assert ids.tolist() == library[0].encode(" " + t, add_special_tokens=False).ids
 
 
 def test_small_memory(spark, library, monkeypatch):
-    segments = alignment._segments(A, B)
-    segments.forget()
-    monkeypatch.setattr(alignment, "KEPT_SEGMENTS", 3)
-    monkeypatch.setattr(alignment, "AT_ONCE", 10)
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "key long, text string").repartition(2)
+    monkeypatch.setattr(alignment, "AT_ONCE", 10)
+    monkeypatch.setattr(alignment, "LINKS", 3)
     assert rows_of(alignment.align(docs, A, B)) == plain(TEXTS, library)
+    _, pieces = alignment._encoders(A, B)
+    monkeypatch.setattr(alignment, "KEPT", 2)
+    for t in ("the cat", "a b c", "the cat"):
+        assert pieces.encode([t])[0][0].tolist() == library[1].encode(t)
 
 
 def test_empty_table_and_clashing_columns(spark, library):
@@ -110,10 +115,10 @@ def test_empty_table_and_clashing_columns(spark, library):
     assert alignment.align(none, A, B, most_pairs=-1).collect() == []
     nothing = spark.createDataFrame([(1, None), (2, "")], "key long, text string")
     assert rows_of(alignment.align(nothing, A, B)) == [(0, 0, 0, 0, 0, 0, "")] * 2
-    docs = spark.createDataFrame([(1, "the cat", 7, "x"), (2, "the cat", 8, None)], "key long, text string, n_a int, groups string")
+    docs = spark.createDataFrame([(1, "the cat", 7, "x", 1.5), (2, "the cat", 8, None, None)], "key long, text string, n_a int, groups string, more double")
     for most in (10, 0):
         out = alignment.align(docs, A, B, most_pairs=most)
-        assert out.columns == ["key", "text", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
+        assert out.columns == ["key", "more", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
         assert rows_of(out) == plain(["the cat", "the cat"], library)
 
 
