@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, written
+from .common import table, text_slices, written
 from .mphf import PerfectHash, build
 from .pretokens import CachedEncoder, byte_letters
 
@@ -39,7 +39,7 @@ MOST_PAIRS = 4_000_000
 KEPT, AT_ONCE, LINKS = 400_000, 2_000_000, 2_000_000
 #: Counts in a block of a vector, and vectors summed by one task of the tree.
 BLOCK, FAN = 1 << 16, 16
-SEGMENT = re.compile(r" +[^ \n]*|\n|[^ \n]+")
+SEGMENT = re.compile(r" +[^ \n]*|\n[^ \n]*")
 #: Bits of an id of B, and of a pair of ids.
 BITS, PAIR_BITS = 18, 36
 MARK = "\u2581"
@@ -61,6 +61,14 @@ def _counted_runs(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np
     return keys[first], np.add.reduceat(times, first) if len(first) else times
 
 
+def segments(text: str) -> list[str]:
+    """The segments of a space and the text, each without its first space; a line feed stays."""
+    own = " " + text
+    if "  " in own:
+        return [x[1:] if x[0] == " " else x for x in SEGMENT.findall(own)]
+    return own.replace("\n", " \n").split(" ")[1:]
+
+
 class PieceEncoder:
     """B: ids of texts by segments, each distinct one encoded once."""
 
@@ -85,7 +93,8 @@ class PieceEncoder:
         for at in range(0, len(new), 5_000):
             some = new[at : at + 5_000]
             # B's own space and a line feed, which stands alone, come first and go again.
-            for segment, ids in zip(some, self.model.encode(["\n" + s for s in some], num_threads=1)):
+            some = [x if x[:1] == "\n" else " " + x for x in some]
+            for segment, ids in zip(some, self.model.encode(["\n" + x for x in some], num_threads=1)):
                 ids = ids[2:]
                 sizes.append(len(ids))
                 flat += ids
@@ -101,7 +110,7 @@ class PieceEncoder:
         """The ids of a space and every text, and whether their bytes are those of a space and the text."""
         if len(self.rows) > KEPT:
             self._forget()
-        parts = [SEGMENT.findall(" " + t) for t in texts]
+        parts = [segments(t) for t in texts]
         flat = list(chain.from_iterable(parts))
         rows = list(map(self.rows.get, flat))
         if None in rows:
@@ -155,19 +164,6 @@ def _lengths(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:
     return sizes[0], sizes[1]
 
 
-def _slices(batches, sizes):
-    """Parts of Arrow batches of bounded size, a larger row alone; ``sizes`` gives the rows' sizes."""
-    for batch in batches:
-        size, at = sizes(batch), 0
-        while at < batch.num_rows:
-            stop, held = at + 1, size[at]
-            while stop < batch.num_rows and held + size[stop] <= AT_ONCE:
-                held += size[stop]
-                stop += 1
-            yield batch.slice(at, stop - at)
-            at = stop
-
-
 def _encoded(docs: DataFrame, text: str, kept: list[str], path_a: str, path_b: str) -> DataFrame:
     """The kept columns, and the ids of A and of B as packed numbers; none for texts without tokens."""
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("__a", T.BinaryType()), T.StructField("__b", T.BinaryType())])
@@ -175,7 +171,7 @@ def _encoded(docs: DataFrame, text: str, kept: list[str], path_a: str, path_b: s
 
     def run(batches):
         a, b = _encoders(path_a, path_b)
-        for part in _slices(batches, lambda x: [len(t) if t else 0 for t in x.column(len(kept)).to_pylist()]):
+        for part in text_slices(batches, len(kept), AT_ONCE):
             texts = [t or "" for t in part.column(len(kept)).to_pylist()]
             other, whole = b.encode(texts)
             own = a.encode([" " + t if ok and t else "" for t, ok in zip(texts, whole)])
@@ -207,10 +203,11 @@ class _Aligned:
         if total != (int(ends[1][-1]) if len(ends[1]) else 0):
             raise RuntimeError("the tokens of A and B cover different bytes")
         mark = np.zeros(total + 1, np.uint8)
-        for e in ends:
-            mark[e] += 1
+        mark[ends[0]] = 1
+        last_b = mark[ends[1]] == 1
+        mark[ends[1][last_b]] = 2
         # Both tokenizers end at the end of a text, so groups never span texts.
-        self.last = [mark[e] == 2 for e in ends]
+        self.last = [mark[ends[0]] == 2, last_b]
         self.group = [np.cumsum(x) - x for x in self.last]
         self.doc_of_group = doc[0][self.last[0]]
         self.in_group = [np.bincount(g, minlength=len(self.doc_of_group)) for g in self.group]
@@ -244,13 +241,14 @@ class _Aligned:
 
     def written(self) -> list[str]:
         """The groups of every text as a string."""
-        both = np.concatenate([self.a, self.b])
-        side = np.repeat([0, 1], [len(self.a), len(self.b)])
-        # A comma follows a token; a bar the last one of A in a group, a semicolon the last one of B.
-        mark = np.where(np.concatenate(self.last), side + 1, 0)
-        order = np.argsort(2 * np.concatenate(self.group) + side, kind="stable")
         size = len(_marked()) // 3
-        names = list(map(_marked().__getitem__, (mark * size + both)[order].tolist()))
+        names = np.zeros(len(self.a) + len(self.b), np.int64)
+        before = [np.cumsum(x) for x in self.in_group]
+        # Before a token of A stand the groups before its own; before one of B also A's tokens of its group. A comma
+        # follows a token; a bar the last one of A in a group, a semicolon the last one of B.
+        names[np.arange(len(self.a)) + (before[1] - self.in_group[1])[self.group[0]]] = self.a + size * self.last[0]
+        names[np.arange(len(self.b)) + before[0][self.group[1]]] = self.b + 2 * size * self.last[1]
+        names = list(map(_marked().__getitem__, names.tolist()))
         edges = np.cumsum(np.bincount(np.concatenate([self.doc_a, self.doc_b]), minlength=self.n))
         return ["".join(names[a:b])[:-1] for a, b in zip([0, *edges.tolist()], edges.tolist())]
 
@@ -263,8 +261,7 @@ def _marked() -> list[str]:
 
 def _runs(path_a: str, path_b: str, batches, column: int):
     """(part of a batch, its aligned texts); the ids of A are in ``column``, those of B in the next one."""
-    sizes = lambda x: [len(a) for a in x.column(column).to_pylist()]
-    for part in _slices(batches, sizes):
+    for part in text_slices(batches, column, AT_ONCE):
         yield part, _Aligned(part.column(column), part.column(column + 1), path_a, path_b)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +44,20 @@ def slices(batch: pa.RecordBatch, rows: int = ROWS_PER_SLICE) -> Iterator[pa.Rec
         yield batch.slice(at, rows)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches whose texts (or bytes) in ``column`` sum up to ``most`` at most; a larger one comes alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        at = 0
+        while at < batch.num_rows:
+            stop, held = at + 1, sizes[at]
+            while stop < batch.num_rows and held + sizes[stop] <= most:
+                held += sizes[stop]
+                stop += 1
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def add_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField], fn: Callable) -> DataFrame:
     """Append what ``fn(*arrow columns)`` returns, a few hundred rows at a time.
 

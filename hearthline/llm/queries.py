@@ -6,6 +6,7 @@ from .jaccard import op10_jaccard_join
 from .language import op1_language_id
 from .licenses import op8_license_scan
 from .mixing import op6_source_mix
+from .periodic import op12_periodic_runs
 from .quality import op7_quality_rules
 from .secrets import op5_secret_scan
 from .sql import JACCARD_SQL, LICENSE_SQL, QUALITY_SQL, URL_SQL
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
 SQL: dict[str, str] = {

@@ -1,0 +1,130 @@
+"""Periodic runs against the plain definition."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hearthline.llm import periodic
+from hearthline.llm.queries import QUERIES
+
+
+def plain_runs(words):
+    """(start, length, period) by trying every period at every place."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            stretch = words[start : start + length]
+            smaller = any(all(stretch[k] == stretch[k + p] for k in range(length - p)) for p in range(1, q))
+            if length >= max(6, 4 * q) and not smaller:
+                out.append((start, length, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def plain(text):
+    words = (text or "").encode().split()
+    found = plain_runs(words)
+    gone = {k for s, n, q in found for k in range(s + q, s + n)}
+    best = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else (None, None, None)
+    return len(found), *best, found, b" ".join(w for k, w in enumerate(words) if k not in gone).decode()
+
+
+def found_in(texts):
+    columns = [c.to_pylist() for c in periodic._found([(t or "").encode().split() for t in texts])]
+    columns[4] = [[tuple(r.values()) for r in x] for x in columns[4]]
+    return list(zip(*columns))
+
+
+words = st.lists(st.sampled_from("abc"), max_size=60)
+repeated = st.tuples(st.lists(st.sampled_from("ab"), min_size=1, max_size=9), st.integers(1, 9)).map(lambda x: x[0] * x[1])
+texts = st.lists(st.lists(st.one_of(words, repeated), max_size=4).map(lambda x: " ".join(w for p in x for w in p)), max_size=5)
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts)
+def test_equals_the_definition(some):
+    assert found_in(some) == [plain(t) for t in some]
+
+
+def test_long_periods_and_pairs_in_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    some = []
+    for p in (1, 2, 31, 62, 100, 333):
+        period = rng.integers(0, 50, p).tolist()
+        tail = (period * 9)[: 4 * p + 7 * (p > 6) + 6]
+        some.append(" ".join(map(str, [*rng.integers(0, 50, 40), *tail, *rng.integers(0, 50, 40)])))
+    some += ["a " * 3000, "a b " * 700 + "c " + "a b " * 700, ""]
+    want = found_in(some)
+    assert [w[0] for w in want][:6] >= [1] * 6
+    assert want[:7] == [plain(t) for t in some[:7]]
+    monkeypatch.setattr(periodic, "PAIRS", 100)
+    assert found_in(some) == want
+
+
+def test_extensions_equal_comparing():
+    rng = np.random.default_rng(1)
+    w = np.concatenate([np.tile(rng.integers(1, 4, 45), 30), rng.integers(1, 3, 700), [9]])
+    own = periodic.Extensions(w)
+    x = rng.integers(0, len(w) - 1, 2000)
+    y = rng.integers(0, len(w) - 1, 2000)
+    x, y = np.minimum(x, y)[x != y], np.maximum(x, y)[x != y]
+    for a, b, n in zip(x, y, own.of(x, y)):
+        k = 0
+        while w[a + k] == w[b + k]:
+            k += 1
+        assert n == k
+
+
+def test_operator_on_odd_rows(spark):
+    rows = [(1, None, "x"), (2, "", "y"), (3, " \n\t", "z"), (4, "no run here", None), (5, "ha " * 7, "q"), (5, "ha " * 7, "q"), (6, "tick tock\n" * 5 + "end", "r")]
+    docs = spark.createDataFrame([(*r, 0.5) for r in rows], "key long, text string, other string, period double")
+    out = periodic.find_runs(docs)
+    assert out.columns == ["key", "text", "other", "n_runs", "start", "length", "period", "runs", "collapsed"]
+    found = sorted(out.collect(), key=lambda r: (r.key, r.other or ""))
+    for r, (key, text, other) in zip(found, rows):
+        assert (r.key, r.text, r.other) == (key, text, other)
+        assert (r.n_runs, r.start, r.length, r.period, [tuple(x) for x in r.runs], r.collapsed) == plain(text)
+    assert [r.collapsed for r in found[-3:]] == ["ha", "ha", "tick tock end"]
+    assert periodic.find_runs(docs.limit(0)).collect() == []
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = QUERIES["op12_periodic_runs"](spark, folder).collect()
+    assert sorted(r.doc_id for r in found) == sorted(docs)
+    planted = 0
+    for r in found:
+        words = docs[r.doc_id].encode().split()
+        h, n = zlib.crc32(str(r.doc_id).encode()), len(words)
+        if n > 3000 and h % 10:
+            continue  # the plain definition takes the square of the words
+        if h % 10 == 0 and n:
+            planted += 1
+            a = h // 10 % n
+            p = 1 + (n - a) // (3 + h // 10 % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        k, start, length, period, listed, collapsed = plain(b" ".join(words).decode())
+        assert (r.n_runs, r.start, r.length, r.period) == (k, start, length, period)
+        assert r.exponent_milli == (None if start is None else 1000 * length // period)
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in listed).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(collapsed.encode()).hexdigest()
+    assert planted > 5
+
+
+@pytest.mark.parametrize("doc_id, text", [(None, "a b c d e f g"), (3, None), (3, "")])
+def test_planting_leaves_nulls(doc_id, text):
+    import pyarrow as pa
+
+    assert periodic._planted(pa.array([doc_id], pa.int64()), pa.array([text], pa.string()))[0].to_pylist() == [text]
