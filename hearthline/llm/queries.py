@@ -8,6 +8,7 @@ from .licenses import op8_license_scan
 from .mixing import op6_source_mix
 from .periodic import op12_periodic_runs
 from .quality import op7_quality_rules
+from .recipes import DEDUP_SQL, op11_exact_dedup
 from .secrets import op5_secret_scan
 from .sql import JACCARD_SQL, LICENSE_SQL, QUALITY_SQL, URL_SQL
 from .tokenfile import op9_token_files
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_exact_dedup": op11_exact_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
@@ -34,4 +36,5 @@ SQL: dict[str, str] = {
     "op7_quality_rules": QUALITY_SQL,
     "op8_license_scan": LICENSE_SQL,
     "op10_jaccard_join": JACCARD_SQL,
+    "op11_exact_dedup": DEDUP_SQL,
 }
