@@ -36,7 +36,17 @@ def written(df: DataFrame, label: str, batch_rows: int | None = None, compressio
     finally:
         if batch_rows:
             spark.conf.set(name, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` has written, once all that was made of it is written too."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batch: pa.RecordBatch, rows: int = ROWS_PER_SLICE) -> Iterator[pa.RecordBatch]:
@@ -61,21 +71,23 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> It
 def add_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField], fn: Callable) -> DataFrame:
     """Append what ``fn(*arrow columns)`` returns, a few hundred rows at a time.
 
-    Columns of ``df`` that bear one of the new names give way to the new ones.
+    Columns of ``df`` that bear one of the new names give way to the new ones. Each column of ``df``
+    goes to the function's process once.
     """
     new = {f.name for f in fields}
     kept = [c for c in df.columns if c not in new]
-    args = [f"__arg{i}" for i in range(len(inputs))]
-    given = df.select(*(F.col(f"`{c}`") for c in kept), *(F.col(f"`{c}`").alias(a) for c, a in zip(inputs, args)))
+    extra = [c for c in dict.fromkeys(inputs) if c in new]
+    sent = kept + extra
+    given = df.select(*(F.col(f"`{c}`") for c in kept), *(F.col(f"`{c}`").alias(f"__arg{i}") for i, c in enumerate(extra)))
     schema = T.StructType([f for f in df.schema.fields if f.name in set(kept)] + fields)
     names = [f.name for f in schema.fields]
-    n = len(kept)
+    n, at = len(kept), [sent.index(c) for c in inputs]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 columns = part.columns
-                yield pa.RecordBatch.from_arrays([*columns[:n], *fn(*columns[n:])], names=names)
+                yield pa.RecordBatch.from_arrays([*columns[:n], *fn(*(columns[k] for k in at))], names=names)
 
     return given.mapInArrow(run, schema)
 

@@ -3,7 +3,7 @@
 The library's byte-level pre-tokenisation costs far more than looking up a word that was seen
 before. So the texts of a batch are cut into pre-tokens at once by numpy, which asks the library
 what kind a character is; every distinct pre-token is encoded by the library's model, and its ids
-are kept for the next batches. Texts are parted at the tokenizer's added tokens first. The ids equal
+are kept for the next batches. Pre-tokens are told apart by a hash and then compared. Texts are parted at the tokenizer's added tokens first. The ids equal
 those of encoding the whole texts.
 """
 
@@ -13,11 +13,9 @@ import re
 
 import numpy as np
 
-from .shingles import _power, mixed
+from .shingles import mixed
 
 _U = np.uint64
-_BASE = 0xB5297A4D3C2B1F0F
-_UNBASE = pow(_BASE, -1, 1 << 64)
 OTHER, LETTER, NUMBER, BLANK, SPACE = range(5)
 #: Distinct pre-tokens kept; beyond it the memory starts anew.
 KEPT = 2_000_000
@@ -30,6 +28,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of the ranges [start, start + size) in a row."""
+    total = np.cumsum(size)
+    return np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
+
+
+def _same(x: np.ndarray, start: np.ndarray, size: np.ndarray, y: np.ndarray, other: np.ndarray, other_size: np.ndarray) -> bool:
+    """Whether all ranges of x equal those of y."""
+    return bool((size == other_size).all() and (x[_places(start, size)] == y[_places(other, size)]).all())
+
+
 class CachedEncoder:
     """``path`` names a tokenizer whose only pre-tokeniser is byte-level with its usual pattern.
 
@@ -65,6 +74,10 @@ class CachedEncoder:
         self.where = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        # The characters of what is kept.
+        self.codes = np.zeros(0, np.uint32)
+        self.codes_at = np.zeros(0, np.int64)
+        self.codes_size = np.zeros(0, np.int64)
 
     def _kind(self, code: int) -> int:
         if code == 0x20:
@@ -134,11 +147,13 @@ class CachedEncoder:
         firsts[(ends - lengths)[lengths > 0]] = True
         start = np.flatnonzero(self.starts(codes, firsts))
         stop = np.concatenate([start[1:], [len(codes)]])
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(mixed(codes.astype(np.uint64) * _U(0x9E3779B97F4A7C15)) * _power(_BASE, len(codes)), out=sums[1:])
-        h = mixed((sums[stop] - sums[start]) * _power(_UNBASE, len(codes))[start] + (stop - start).astype(np.uint64))
+        h = self._hashes(codes, start, stop)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        slot = self._slots(distinct, flat, start[first], stop[first])
+        slot = None
+        if _same(codes, start, stop - start, codes, start[first][inverse], (stop - start)[first][inverse]):
+            slot = self._slots(distinct, flat, codes, start[first], stop[first])
+        if slot is None:
+            return self._one_by_one(flat, start, stop, ends)
         sizes, where = self.size[slot][inverse], self.where[slot][inverse]
         done = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.repeat(where - done[:-1], sizes) + np.arange(done[-1])]
@@ -146,21 +161,42 @@ class CachedEncoder:
         cut = done[np.searchsorted(start, ends)]
         return np.split(ids, cut[:-1])
 
-    def _slots(self, distinct: np.ndarray, flat: str, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Rows of the memory for sorted distinct hashes; what is new is encoded."""
+    def _hashes(self, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The sum of a scrambled number for every character at its place, scrambled."""
+        place = np.arange(len(codes)) - np.repeat(start, stop - start)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(mixed(codes.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + place.astype(np.uint64) * _U(0xD6E8FEB86659FD93)), out=sums[1:])
+        return mixed(sums[stop] - sums[start] + (stop - start).astype(np.uint64))
+
+    def _ids(self, pretoken: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.letters))]
+
+    def _one_by_one(self, flat: str, start: np.ndarray, stop: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """The ids of texts in which two different pre-tokens share a hash."""
+        known: dict[str, list[int]] = {}
+        out, at = [[] for _ in ends], 0
+        for a, b in zip(start.tolist(), stop.tolist()):
+            while a >= ends[at]:
+                at += 1
+            one = flat[a:b]
+            if one not in known:
+                known[one] = self._ids(one)
+            out[at] += known[one]
+        return [np.array(x, np.uint32) for x in out]
+
+    def _slots(self, distinct: np.ndarray, flat: str, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray | None:
+        """Rows of the memory for sorted distinct hashes; what is new is encoded. None if other characters have such a hash."""
         if len(self.hashes) > self.kept:
             self._forget()
         at = np.searchsorted(self.hashes, distinct)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.hashes)
         known[inside] = self.hashes[at[inside]] == distinct[inside]
-        new = np.flatnonzero(~known)
+        old, new = np.flatnonzero(known), np.flatnonzero(~known)
+        if not _same(self.codes, self.codes_at[at[old]], self.codes_size[at[old]], codes, start[old], stop[old] - start[old]):
+            return None
         if len(new):
-            tokenize, letters = self.model.tokenize, self.letters
-            ids = [
-                [t.id for t in tokenize(flat[a:b].encode().decode("latin-1").translate(letters))]
-                for a, b in zip(start[new].tolist(), stop[new].tolist())
-            ]
+            ids = [self._ids(flat[a:b]) for a, b in zip(start[new].tolist(), stop[new].tolist())]
             size = np.array([len(x) for x in ids], np.int64)
             where = len(self.flat) + np.cumsum(size) - size
             self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
@@ -168,5 +204,9 @@ class CachedEncoder:
             self.hashes = np.insert(self.hashes, put, distinct[new])
             self.where = np.insert(self.where, put, where)
             self.size = np.insert(self.size, put, size)
+            length = stop[new] - start[new]
+            self.codes_at = np.insert(self.codes_at, put, len(self.codes) + np.cumsum(length) - length)
+            self.codes_size = np.insert(self.codes_size, put, length)
+            self.codes = np.concatenate([self.codes, codes[_places(start[new], length)]])
             at = np.searchsorted(self.hashes, distinct)
         return at

@@ -126,3 +126,12 @@ def test_shingle_hashes_follow_the_words():
     both = shingle_set(a) & shingle_set(b)
     assert len(set(S.shingle_set(a).tolist()) & set(S.shingle_set(b).tolist())) == len(both) == 2
     assert S.digest(S.shingle_set(a)) == S.digest(S.shingle_set(a.lower() + "\n")) != S.digest(S.shingle_set(b))
+
+
+def test_words_that_polynomial_hashes_mix_up():
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for text in (word, other, word * 2):
+        assert S.word_hashes(text, 0) != S.word_hashes(text, 1)
+    assert len({int(S.word_hashes(t)[0]) for t in (word, other, word * 2, other * 2)}) == 4
+    assert S.word_hashes(f"{word} x {word}")[0] == S.word_hashes(f"x {word}")[1]

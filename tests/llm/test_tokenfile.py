@@ -91,3 +91,15 @@ def test_added_tokens_as_the_library_at_its_default(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.key: r for r in TF.read_files(TF.write_files(docs, PATH, 16, 2)).collect()}
     assert [got[i].ids for i in range(len(texts))] == [x + [2] for x in want]
+
+
+def test_words_that_polynomial_hashes_mix_up(library, monkeypatch):
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    texts = [word, other, f"{other} {word}"]
+    assert [x.tolist() for x in CachedEncoder(PATH).encode(texts)] == library(texts)
+    # Every pre-token of one hash: still told apart, in a batch and in the memory.
+    monkeypatch.setattr(CachedEncoder, "_hashes", lambda self, codes, start, stop: np.zeros(len(start), np.uint64))
+    encoder = CachedEncoder(PATH)
+    for some in (["same same same"], ["one two", "", "one"], [" same"], ["x"]):
+        assert [x.tolist() for x in encoder.encode(some)] == library(some)
