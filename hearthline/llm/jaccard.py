@@ -9,11 +9,11 @@ within the radius of a pivot are linked to it, so they need not be compared with
    sets of the wanted similarity share a shingle in short prefixes. The documents that hold a
    shingle in their prefix are a seed region; every link lies within one.
 2. A region takes its most central document as pivot; later rounds take several. Members within the
-   radius of a pivot are linked to it, and so connected with each other. Each member goes to the cell
-   of its nearest pivot, and to every other cell whose pivot is less than two radii farther away: by
-   the triangle inequality no link then runs between members that share no cell. Pivots have met all
-   and leave; cells in which not all are connected are joined again, around new pivots.
-3. What is small, or left after some rounds, is compared pair by pair.
+   radius of a pivot, its ball, are linked to it. The cell of a pivot is its ball and what lies within
+   two radii; the members outside all balls share a cell. By the triangle inequality no link runs
+   between members that share no cell. Cells whose members the links found so far connect are done,
+   pivots have met all and leave, and the other cells are joined again, around new pivots.
+3. What has few open pairs is compared pair by pair; so is what is left after some rounds, block by block.
 4. Components of the links give the groups.
 
 Distances are measured exactly, on the sets of hashes, unless the sizes of two sets or their counts
@@ -25,25 +25,31 @@ the order. The shingles move between tasks as packed arrays.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import table, written
+from .common import discard, table, written
 from .shingles import digest, mixed, shingle_set
 
-#: A shingle of more documents than this is placed late in the order.
-COMMON = 32
+#: A shingle of more documents than this is placed late in the order; where that are too many, twice as many, and so on.
+COMMON = 2
 #: The list of common shingles is broadcast; it is kept to so many by raising the bar.
 MAX_COMMON = 2_000_000
 #: Packed records that a task holds before it hands them on.
 FLUSH = 1_000_000
 #: Rows of an Arrow batch, as they hold whole texts or sets.
 BATCH = 1_000
-#: Pivot rounds before the rest is compared pair by pair; pivots of a region after the first round; pairs that are few.
-ROUNDS, PIVOTS, SMALL = 4, 4, 50_000
+#: Rows of an Arrow batch that hold two sets each.
+SET_PAIRS = 128
+#: Pivots of a region after the first round; pairs of members that are few.
+PIVOTS, SMALL = 2, 20_000
+#: Rounds after which what is left is compared in blocks of members, and the members of a block.
+ROUNDS, BLOCK = 6, 512
 #: Cells of a set's histogram; a power of two.
 CELLS = 256
 _U = np.uint64
@@ -83,10 +89,10 @@ def _nodes(docs: DataFrame, key: str, text: str, seed: int) -> DataFrame:
             sizes, nodes, checks = [], [], []
             for t in batch.column(2).to_pylist():
                 h = shingle_set(t, seed)
-                a, b = digest(h) if len(h) else (None, None)
                 sizes.append(len(h))
-                nodes.append(a)
-                checks.append(b)
+                nodes.append(digest(h) if len(h) else None)
+                # From independent hashes of the words, so that words of one hash come to light.
+                checks.append(digest(shingle_set(t, seed, 1)) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64())],
                 names=["key", "th", "n_shingles", "node", "check"],
@@ -145,14 +151,16 @@ def _common(docs: DataFrame, text: str, seed: int) -> tuple[int, np.ndarray]:
     bar = COMMON
     while counts.filter(F.col("n") > bar).count() > MAX_COMMON:
         bar *= 2
-    codes = [r[0] for r in counts.filter(F.col("n") > bar).select("code").toLocalIterator()]
-    return parts, np.sort(np.array(codes, np.int64))
+    codes = np.asarray(counts.filter(F.col("n") > bar).select("code").toArrow().column(0), np.int64)
+    discard(counts)
+    return parts, np.sort(codes)
 
 
 def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: int, common: np.ndarray) -> DataFrame:
     """(g, node, n, held): every document in the regions of its prefix's shingles, regions of two or more only.
 
-    ``n`` is the set's size, ``held`` the number of documents in the region.
+    ``n`` is the set's size, ``held`` the number of documents in the region. Many shingles make the
+    same region; one of each is kept. Its members are told by two sums of hashes.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(common)
@@ -177,7 +185,7 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 h = shingle_set(t, seed)
-                if not len(h) or (node := digest(h)[0]) in seen:
+                if not len(h) or (node := digest(h)) in seen:
                     continue
                 seen.add(node)
                 late = common_mask(h, codes, table)
@@ -226,16 +234,21 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
             starts = np.flatnonzero(first)
             size = np.diff(np.concatenate([starts, [len(rows)]]))
             of = np.repeat(size, size)
-            rows, of = rows[of > 1], of[of > 1]
-            for at in range(0, len(rows), 50_000):
-                part = rows[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part["g"].astype(np.int64)), pa.array(part["node"]), pa.array(part["n"]), pa.array(of[at : at + 50_000].astype(np.int64))],
-                    names=["g", "node", "n", "held"],
-                )
+            told = []
+            for key in (1, 2):
+                sums = np.concatenate([[_U(0)], np.cumsum(mixed(rows["node"].astype(np.uint64) + _U(key)))])
+                told.append(np.repeat(sums[starts + size] - sums[starts], size).astype(np.int64))
+            columns = [rows["g"].astype(np.int64), rows["node"], rows["n"], of.astype(np.int64), *told]
+            columns = [c[of > 1] for c in columns]
+            for at in range(0, len(columns[0]), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 50_000]) for c in columns], names=["g", "node", "n", "held", "h0", "h1"])
 
     blobs = docs.select(F.col(text).alias("text")).mapInArrow(send, "part int, blob binary").repartition(parts // 4, "part")
-    return written(blobs.mapInArrow(group, "g long, node long, n int, held long"), "jaccard-regions", BATCH)
+    every = written(blobs.mapInArrow(group, "g long, node long, n int, held long, h0 long, h1 long"), "jaccard-seeds", BATCH)
+    once = every.groupBy("held", "h0", "h1").agg(F.min("g").alias("g")).select("g")
+    regions = written(every.join(once, "g", "left_semi").select("g", "node", "n", "held"), "jaccard-regions")
+    discard(every)
+    return regions
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, seed: int) -> DataFrame:
@@ -251,10 +264,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, seed:
         for batch in batches:
             sets = [shingle_set(t, seed) for t in batch.column(1).to_pylist()]
             counts = [np.bincount((h & _U(CELLS - 1)).astype(np.int64), minlength=CELLS) for h in sets]
-            hists = [c.astype(np.uint16).tobytes() if c.max(initial=0) < 1 << 16 else None for c in counts]
+            hists = [c.astype(np.uint8).tobytes() if c.max(initial=0) < 1 << 8 else None for c in counts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([digest(h)[0] for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()),
+                    pa.array([digest(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()),
                     pa.array(hists, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary()),
                 ],
                 names=["node", "n", "hist", "hashes"],
@@ -263,36 +276,37 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, seed:
     return written(texts.mapInArrow(run, "node long, n long, hist binary, hashes binary"), "jaccard-sets", BATCH)
 
 
-def _hopeful(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that their histograms allow to link: cell by cell, the smaller count bounds what is common."""
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+    """(a, b, hope): the pairs whose histograms allow a similarity of ``least``; ``hope`` tells if they allow a link.
+
+    Cell by cell, the smaller count bounds what is common.
+    """
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
                 part = batch.slice(at, 2_000)
                 known = np.array([x.is_valid and y.is_valid for x, y in zip(part.column(2), part.column(3))], bool)
-                keep = np.ones(part.num_rows, bool)
+                keep, hope = np.ones(part.num_rows, bool), np.ones(part.num_rows, bool)
                 if known.any():
                     x, y = (
-                        np.frombuffer(b"".join(v.as_py() for v, k in zip(part.column(c), known) if k), np.uint16).reshape(-1, CELLS)
+                        np.frombuffer(b"".join(v.as_py() for v, k in zip(part.column(c), known) if k), np.uint8).reshape(-1, CELLS)
                         for c in (2, 3)
                     )
                     most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-                    total = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
-                    keep[known] = 100 * most >= percent * (total - most)
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(keep)), part.column(1).filter(pa.array(keep))], names=["a", "b"])
+                    either = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64) - most
+                    keep[known], hope[known] = 100 * most >= least * either, 100 * most >= percent * either
+                keep = pa.array(keep)
+                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in (part.column(0), part.column(1), pa.array(hope))], names=["a", "b", "hope"])
 
     left = sets.select(F.col("node").alias("a"), F.col("hist").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hist").alias("y"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return written(rows.mapInArrow(run, "a long, b long"), "jaccard-hopeful", BATCH)
+    return written(rows.mapInArrow(run, "a long, b long, hope boolean"), "jaccard-bounded", BATCH)
 
 
-def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, inter, either): exact sizes of intersection and union of the pairs' sets.
-
-    Pairs that their histograms keep from linking are left out.
-    """
+def _measured(bounded: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, inter, either): exact sizes of intersection and union of the sets of the pairs that may link."""
 
     def run(batches):
         last, held = None, None
@@ -310,78 +324,115 @@ def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "inter", "either"]
             )
 
-    hopeful = _hopeful(pairs, sets, percent)
+    hopeful = bounded.filter("hope").select("a", "b")
     # Only the sets that are needed travel.
     met = hopeful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = written(sets.join(met, "node", "left_semi").select("node", "hashes"), "jaccard-wanted")
     left = wanted.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = wanted.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     rows = hopeful.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return written(rows.mapInArrow(run, "a long, b long, inter long, either long"), "jaccard-measured", BATCH)
+    found = written(rows.mapInArrow(run, "a long, b long, inter long, either long"), "jaccard-measured", SET_PAIRS)
+    discard(wanted)
+    return found
+
+
+def _open_pairs(state: DataFrame, every: bool) -> DataFrame:
+    """(g, m, open, major): members, pairs not known to be connected, and the class of most members, by region."""
+    classes = state.groupBy("g", "cls").agg(F.count("*").alias("k"))
+    same = F.lit(0) if every else F.when(F.col("cls").isNull(), 0).otherwise(F.expr("k * (k - 1) div 2"))
+    sums = classes.groupBy("g").agg(F.sum("k").alias("m"), F.sum(same).alias("same"), F.expr("max_by(cls, IF(cls IS NULL, 0, k))").alias("major"))
+    return sums.select("g", "m", F.expr("m * (m - 1) div 2 - same").alias("open"), F.lit(None).cast("long").alias("major") if every else "major")
+
+
+def _apart(state: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
+    """(a, b): distinct pairs of members of a region whose sizes allow a link and that are not known to be connected.
+
+    Members outside the largest class meet all others. Both are dealt into blocks, so that a task
+    pairs two blocks of bounded size.
+    """
+    rows = state.join(regions, "g").withColumn("minor", F.coalesce(F.col("cls") != F.col("major"), F.lit(True)))
+    blocks = F.expr(f"int(ceil(m / {BLOCK}))")
+    rows = rows.withColumn("k", blocks).withColumn("at", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    every = F.explode(F.expr("sequence(0, k - 1)"))
+    one = rows.filter("minor").select("g", F.col("at").alias("i"), every.alias("j"), "node", "n", "cls")
+    two = rows.select("g", every.alias("i"), F.col("at").alias("j"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("cls").alias("cb"), F.col("minor").alias("mb"))
+    sized = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
+    pairs = one.join(two, ["g", "i", "j"]).filter(f"node <> b AND (NOT mb OR node < b) AND NOT coalesce(cls = cb, false) AND {sized}")
+    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
 def _links(regions: DataFrame, sets: DataFrame, percent: int, every: bool = False) -> DataFrame:
     """(a, b): links that connect all that the regions connect; ``regions`` has g, node, n and held.
 
-    With ``every`` all links between distinct sets are given: members of one ball are compared with
-    each other too, and no cell counts as settled. ``cls`` marks members that are known to be connected with one another, by the pivot whose ball
-    they lie in; pairs of one class need no comparison.
+    ``cls`` names the component of the links found so far; members of one need no comparison. With
+    ``every`` all links between distinct sets are given, and no two members count as connected.
     """
-    eps = 1 - percent / 100 + 1e-9
+    eps = 1 - percent / 100
     linked = F.expr(f"100 * inter >= {percent} * either")
+    # The similarity at two radii from a pivot.
+    reach = max(0, int(100 * (1 - 2 * eps) + 1e-6))
+    none = F.lit(None).cast("long")
     central = regions.groupBy("node").agg(F.sum("held").alias("weight"))
-    state = regions.join(central, "node").select("g", "node", "n", "weight", F.lit(None).cast("long").alias("cls"))
-    state = written(state, "jaccard-state")
-    links = []
-    for turn in range(ROUNDS + 1):
+    state = written(regions.join(central, "node").select("g", "node", "n", "weight", none.alias("cls")), "jaccard-state")
+    links, turn = [sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)], 0
+    union = lambda: functools.reduce(DataFrame.unionByName, links).distinct()
+    while not state.isEmpty():
         if turn:
-            sizes = state.groupBy("g").agg(F.count("*").alias("m"))
-            small = sizes.filter("true" if turn == ROUNDS else f"m * m <= {2 * SMALL}").select("g")
-            one = state.join(small, "g").select("g", "node", "n", "cls")
-            two = one.select("g", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("cls").alias("cb"))
-            sized = F.expr(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
-            apart = F.lit(every) | F.col("cls").isNull() | F.col("cb").isNull() | (F.col("cls") != F.col("cb"))
-            pairs = one.join(two, "g").filter((F.col("node") < F.col("b")) & sized & apart)
-            found = _measured(pairs.select(F.col("node").alias("a"), "b").distinct(), sets, percent)
-            links.append(found.filter(linked).select("a", "b"))
+            sizes = written(_open_pairs(state, every), "jaccard-sizes")
+            few = sizes if turn == ROUNDS else sizes.filter(F.col("open") <= SMALL)
+            bounded = _bounded(_apart(state, few, percent), sets, percent, percent)
+            links.append(_measured(bounded, sets).filter(linked).select("a", "b"))
+            discard(bounded)
             if turn == ROUNDS:
                 break
-            state = state.join(small, "g", "left_anti")
+            larger = written(state.join(few, "g", "left_anti"), "jaccard-state")
+            discard(state, sizes)
+            state = larger
+            if state.isEmpty():
+                break
         # The most central member of each of a few hash classes: never a whole region in one array.
         each = F.pmod(F.xxhash64("node"), F.lit(PIVOTS if turn else 1))
         best = state.groupBy("g", each.alias("e")).agg(F.max(F.struct("weight", "node", "n")).alias("p"))
         pivots = best.groupBy("g").agg(F.collect_list("p").alias("ps"))
         met = state.join(pivots, "g").filter(~F.array_contains("ps.node", F.col("node")))
-        met = met.select("g", "node", "n", "weight", "cls", F.explode_outer("ps").alias("p"))
-        met = met.select("g", "node", "n", "weight", "cls", F.col("p.node").alias("b"), F.col("p.n").alias("nb"))
-        between = pivots.select(F.explode_outer("ps.node").alias("a"), "ps.node").select("a", F.explode_outer("node").alias("b")).filter("a < b")
-        sized = F.expr(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
-        pairs = met.filter(sized).select(F.col("node").alias("a"), "b").unionByName(between).distinct()
-        found = _measured(pairs, sets, percent)
+        members = met.select("g", "node", "n", "weight")
+        met = met.select("g", "node", "n", "weight", F.explode("ps").alias("p")).select("g", "node", "n", "weight", F.col("p.node").alias("b"), F.col("p.n").alias("nb"))
+        between = pivots.select(F.explode("ps").alias("p"), "ps").select(F.col("p.node").alias("a"), F.col("p.n").alias("n"), F.explode("ps").alias("q"))
+        between = between.select("a", F.col("q.node").alias("b"), "n", F.col("q.n").alias("nb")).filter("a < b")
+        # The first round asks for links only; later ones for what lies within two radii of a pivot.
+        least = reach if turn else percent
+        sized = F.expr(f"100 * least(n, nb) >= {least} * greatest(n, nb)")
+        met = met.filter(sized)
+        pairs = met.select(F.col("node").alias("a"), "b").unionByName(between.filter(sized).select("a", "b")).distinct()
+        bounded = _bounded(pairs, sets, percent, least)
+        found = _measured(bounded, sets)
         links.append(found.filter(linked).select("a", "b"))
-        far = found.select(F.col("a").alias("node"), "b", (1 - F.col("inter") / F.col("either")).alias("d"), linked.alias("near"))
-        placed = met.join(far, ["node", "b"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
         if turn:
-            # With several pivots: the nearest one's cell, and those in the window. Where sizes or histograms made
-            # measuring needless, the distance is at least what the sizes tell.
-            least = placed.groupBy("g", "node").agg(F.coalesce(F.min("d"), F.lit(1.0)).alias("least"))
-            bound = F.coalesce("d", F.expr("1 - least(n, nb) / greatest(n, nb)"))
-            placed = placed.join(least, ["g", "node"]).filter(bound <= F.col("least") + 2 * eps)
-        cells = placed.select(
-            F.xxhash64("g", "b").alias("g"), "node", "n", "weight", F.when(F.col("near"), F.col("b")).otherwise(F.col("cls")).alias("cls")
-        )
+            # What the histograms put out of reach is out of the cell. The members outside all balls share a cell.
+            near = found.filter(linked).select(F.col("a").alias("node"), "b", F.lit(True).alias("near"))
+            within = met.join(bounded.select(F.col("a").alias("node"), "b"), ["node", "b"]).join(near, ["node", "b"], "left")
+            within = written(within, "jaccard-within")
+            inside = within.select(F.xxhash64("g", "b").alias("g"), "node", "n", "weight")
+            balls = within.filter("near").select("g", "node").distinct()
+            rest = members.join(balls, ["g", "node"], "left_anti").withColumn("g", F.xxhash64("g"))
+            cells = written(inside.unionByName(rest), "jaccard-cells")
+            discard(within)
+        else:
+            cells = written(members, "jaccard-cells")
+        if every:
+            classed = cells.withColumn("cls", none)
+        else:
+            roots = connected_components(union().select(F.col("a").alias("u"), F.col("b").alias("v")))
+            classed = written(cells.join(roots.select("node", F.col("root").alias("cls")), "node", "left"), "jaccard-classed")
         unsettled = F.expr("count(*) > 1" + " and (count(cls) < count(*) or min(cls) <> max(cls))" * (not every))
         # Many shingles make the same region; one of each is enough. Its members are told by two sums of hashes.
-        told = [F.sum(F.xxhash64(F.lit(i), "node", "cls").cast("decimal(38,0)")).alias(f"h{i}") for i in (0, 1)]
-        regions_left = cells.groupBy("g").agg(F.count("*").alias("m"), *told, unsettled.alias("more")).filter("more")
+        told = [F.sum(F.xxhash64(F.lit(i), "node").cast("decimal(38,0)")).alias(f"h{i}") for i in (0, 1)]
+        regions_left = classed.groupBy("g").agg(F.count("*").alias("m"), *told, unsettled.alias("more")).filter("more")
         work = regions_left.groupBy("m", "h0", "h1").agg(F.min("g").alias("g")).select("g")
-        state = written(cells.join(work, "g"), "jaccard-state")
-        if state.isEmpty():
-            break
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+        left = written(classed.join(work, "g"), "jaccard-state")
+        discard(state, cells, bounded, *([] if every else [classed]))
+        state, turn = left, turn + 1
+    return union()
 
 
 def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, count_links: bool = False) -> DataFrame:
