@@ -28,6 +28,7 @@ from .operators.identity import (
     with_sequential_id,
 )
 from .operators.joins import merge_on
+from .operators.skew import find_hot_keys
 from .plans.agencies import merge_agencies, prelink
 from .plans.enrollment import Extracts, count_stages, group_rows, merge_tables
 from .plans.housing import housing_table
@@ -135,6 +136,26 @@ def date_coerce(spark, folder):
     return cleaning.coerce_times(written, ["written"], "date")
 
 
+DATE_FORMS = (
+    "d-MMM-yy", "MMM d yyyy", "M.d.yyyy", "yyyyMMdd H:mm", "M/d/yyyy H:mm:ss.SSS", "yyyy-MM-dd H:mm:ss.SSS", "MMMM d, yyyy",
+)
+
+
+@register(
+    "date_forms",
+    f"""SELECT o_orderkey, make_date(CASE WHEN o_orderkey % {len(DATE_FORMS)} = 0 THEN 2000 + year(d) % 100 ELSE year(d) END,
+        month(d), day(d)) AS written FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
+)
+def date_forms(spark, folder):
+    """Dates in the forms of several programs, written as CSV and read back as texts."""
+    form = F.pmod("o_orderkey", F.lit(len(DATE_FORMS)))
+    text = F.coalesce(*[F.when(form == i, F.date_format("o_orderdate", f)) for i, f in enumerate(DATE_FORMS)])
+    root = scratch_path(spark, "date-forms")
+    orders(spark, folder).select("o_orderkey", text.alias("written")).write.csv(f"{root}/a", header=True)
+    read = read_table(spark, {"a": f"{root}/a"}, types={"o_orderkey": "bigint", "written": "string"})
+    return cleaning.coerce_times(read, ["written"], "date").select("o_orderkey", "written")
+
+
 @register(
     "group_filter",
     """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
@@ -220,9 +241,34 @@ def stage_widen(spark, folder):
 )
 def income_max(spark, folder):
     df = staged_orders(spark, folder, "o_orderkey", "o_totalprice", "o_orderpriority")
-    wide = widen.split_rows_to_columns(df, "o_orderstatus", STAGES, "o_custkey")
-    sums = ["o_totalprice_entry", "o_totalprice_exit"]
-    return widen.collapse_to_max(wide, "o_custkey", sums, ["o_orderkey_entry", "o_orderkey_exit"])
+    return widen.collapse_stages_to_max(
+        df, "o_custkey", "o_orderstatus", STAGES, ["o_totalprice"], "o_orderkey"
+    )
+
+
+@register(
+    "stage_widen_hot",
+    """WITH o AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE o_custkey END AS person, o_orderstatus,
+            count(*) AS n_orders, max(o_totalprice) AS dearest
+        FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL),
+      l AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE o_custkey END AS person, o_orderkey, o_totalprice
+        FROM orders WHERE o_orderstatus = 'O')
+    SELECT coalesce(l.person, o.person) AS person, l.o_orderkey AS o_orderkey_entry,
+        l.o_totalprice AS o_totalprice_entry, CAST(o.n_orders AS BIGINT) AS o_orderkey_exit, o.dearest AS o_totalprice_exit
+    FROM l FULL JOIN (SELECT * FROM o WHERE o_orderstatus = 'F') o ON l.person = o.person""",
+)
+def stage_widen_hot(spark, folder):
+    """Widening where one person holds half of the entry rows: those are dealt over pieces."""
+    data = table(spark, folder, "orders").withColumn(
+        "person", F.expr("CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE o_custkey END")
+    )
+    entry = data.filter("o_orderstatus = 'O'").select("person", "o_orderstatus", "o_orderkey", "o_totalprice")
+    exits = data.filter("o_orderstatus = 'F'").groupBy("person", "o_orderstatus").agg(
+        F.count("*").alias("o_orderkey"), F.max("o_totalprice").alias("o_totalprice")
+    )
+    rows = entry.withColumn("o_orderkey", F.col("o_orderkey").cast("long")).unionByName(exits)
+    hot = find_hot_keys(rows.select("person"), ["person"], 1_000)
+    return widen.split_rows_to_columns(rows, "o_orderstatus", STAGES, "person", hot)
 
 
 TYPE_NAMES = {1: "Urgent", 2: "High", 3: "Medium", 4: "Open", 5: "Low"}
@@ -521,6 +567,47 @@ def block_match(spark, folder):
     )
 
 
+GRAMS_SQL = """WITH words AS (SELECT p_partkey AS k, p_brand AS b, ' ' || w || ' ' AS w
+        FROM (SELECT p_partkey, p_brand, unnest(string_split(lower(p_name), ' ')) AS w FROM part) WHERE w <> ''),
+      grams AS (SELECT k, b, g, count(*) AS n FROM (SELECT k, b, substring(w, CAST(i AS BIGINT), 2) AS g
+        FROM words, unnest(range(1, length(w))) AS r(i)) GROUP BY ALL),
+      sums AS (SELECT k, sum(n) AS n, sqrt(sum(n * n)) AS norm FROM grams GROUP BY k),
+      common AS (SELECT l.k AS id_l, r.k AS id_r, sum(least(l.n, r.n)) AS shared, sum(l.n * r.n) AS dot
+        FROM grams l JOIN grams r ON l.b = r.b AND l.g = r.g AND l.k < r.k GROUP BY ALL),
+      pairs AS (SELECT l.p_partkey AS id_l, r.p_partkey AS id_r FROM part l JOIN part r ON l.p_brand = r.p_brand AND l.p_partkey < r.p_partkey),
+      scored AS (SELECT id_l, id_r, coalesce(shared, 0) / greatest(x.n, y.n) AS qgram, coalesce(dot, 0) / (x.norm * y.norm) AS cosine
+        FROM pairs LEFT JOIN common USING (id_l, id_r) JOIN sums x ON x.k = id_l JOIN sums y ON y.k = id_r)
+    SELECT id_l, id_r, CAST({score} AS DOUBLE) AS p_name, CAST({score} AS DOUBLE) AS mean, {score} AS match FROM scored"""
+
+
+@register("block_match_qgram", GRAMS_SQL.format(score="qgram >= 0.52"))
+def block_match_qgram(spark, folder):
+    return linkage.block_and_match(
+        table(spark, folder, "part"), "p_partkey", "p_brand", {"p_name": "string"}, string_method="qgram", string_threshold=0.52
+    )
+
+
+@register("block_match_cosine", GRAMS_SQL.format(score="cosine >= 0.52003"))
+def block_match_cosine(spark, folder):
+    return linkage.block_and_match(
+        table(spark, folder, "part"), "p_partkey", "p_brand", {"p_name": "string"}, string_method="cosine", string_threshold=0.52003
+    )
+
+
+@register(
+    "block_match_damerau",
+    """SELECT id_l, id_r, CAST(near AS DOUBLE) AS p_type, CAST(near AS DOUBLE) AS mean, near AS match
+    FROM (SELECT l.p_partkey AS id_l, r.p_partkey AS id_r, 1.0 - damerau_levenshtein(l.p_type, r.p_type)
+            / CAST(greatest(length(l.p_type), length(r.p_type)) AS DOUBLE) >= 0.58 AS near
+        FROM part l JOIN part r ON l.p_brand = r.p_brand AND l.p_partkey < r.p_partkey)""",
+)
+def block_match_damerau(spark, folder):
+    return linkage.block_and_match(
+        table(spark, folder, "part"), "p_partkey", "p_brand", {"p_type": "string"},
+        string_method="damerau_levenshtein", string_threshold=0.58,
+    )
+
+
 DATE_SCORE_SQL = """CASE WHEN a = b THEN 1.0
     WHEN year(a) = year(b) AND month(a) = day(b) AND day(a) = month(b) THEN 0.5
     WHEN year(a) = year(b) AND day(a) = day(b) AND (least(month(a), month(b)), greatest(month(a), month(b)))

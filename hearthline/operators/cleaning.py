@@ -25,7 +25,8 @@ REFUSED_WORDS = ("REFUSED", "ANONYMOUS")
 TIME_FORMATS = (
     "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "M/d/yy",
     "M/d/yy H:mm", "M-d-yyyy", "yyyyMMdd", "yyyy/M/d", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy",
-    "d/M/yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss",
+    "d/M/yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "d-MMM-yy", "MMM d yyyy", "MMMM d yyyy", "M.d.yyyy", "d.M.yyyy",
+    "yyyyMMdd H:mm", "yyyyMMdd H:mm:ss", "M/d/yyyy H:mm:ss.SSSSSS", "M/d/yyyy h:mm:ss.SSSSSS a",
 )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import keep_first
+from .skew import HotKeys, find_hot_keys, join_values
 
 
 def drop_stages(df: DataFrame, stage: str, values: Sequence) -> DataFrame:
@@ -28,12 +29,17 @@ def _categories(df: DataFrame, category: str, suffixes: Mapping) -> list:
 
 
 def split_rows_to_columns(
-    df: DataFrame, category: str, suffixes: Mapping, merge_columns: Sequence[str] | str
+    df: DataFrame,
+    category: str,
+    suffixes: Mapping,
+    merge_columns: Sequence[str] | str,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """One set of suffixed columns per category, full-outer-joined on the merge columns.
 
     Rows with a null category vanish; null merge keys match each other; repeated rows of a key
-    multiply. Columns appear only for categories that occur.
+    multiply. Columns appear only for categories that occur. The rows of hot merge keys are dealt
+    over pieces; ``hot`` saves the pass that looks for such keys.
     """
     if isinstance(category, (list, tuple)):
         raise TypeError("the category column must be one name, not a container")
@@ -46,7 +52,13 @@ def split_rows_to_columns(
     if not parts:
         return df.filter(F.lit(False)).select(*keys)
 
+    hot = find_hot_keys(df.select(*keys), keys) if hot is None else hot
+
     def outer(left: DataFrame, right: DataFrame) -> DataFrame:
+        if hot:
+            both = join_values(left, right, keys, "left", hot)
+            alone = join_values(right, left.select(*keys).distinct(), keys, "left_anti", hot)
+            return both.unionByName(alone, allowMissingColumns=True)
         on = reduce(
             lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
         )
@@ -130,6 +142,31 @@ def _typed_unique(data, pe, stage, stages, type_column, response, suffix) -> Dat
     return wide.drop("__in", "__out")
 
 
+def collapse_stages_to_max(
+    df: DataFrame, key: str, stage: str, stages: Mapping, columns: Sequence[str], order: str
+) -> DataFrame:
+    """One row per key with a set of suffixed columns per stage: maxima of the listed columns, and
+    the values of the stage's first row by ``order`` of the others. One aggregation does it.
+
+    The same as widening the stages and collapsing the wide rows, without the product of a key's
+    entry and exit rows. Rows of a null key are not combined: each stage's first row is taken whole.
+    Rows of other stages vanish; columns appear only for stages that occur.
+    """
+    measures = [c for c in df.columns if c not in (key, stage, order)]
+    for c in measures:
+        if c not in columns:
+            warnings.warn(f"{c} is neither the key nor a column to take the maximum of; first kept")
+    aggs = []
+    for value in _categories(df, stage, stages):
+        here = F.col(stage) == value
+        for c in measures:
+            first = F.min_by(F.col(c), F.when(here, F.col(order)))
+            most = F.when(F.col(key).isNull(), first).otherwise(F.max(F.when(here, F.col(c))))
+            aggs.append((most if c in columns else first).alias(c + stages[value]))
+    known = df.filter(F.col(stage).isNotNull())
+    return known.groupBy(key).agg(*aggs) if aggs else known.select(key)
+
+
 def collapse_to_max(
     df: DataFrame,
     key: str,

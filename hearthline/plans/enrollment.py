@@ -167,15 +167,9 @@ def get_income(source: Extracts) -> DataFrame:
     spec = source.spec("income")
     columns = spec.role("columns_to_take_max")
     kept = _kept_stages(source, "income", spec)
-    enrolment = spec.role("person_enrollment_ID")
-    null_keys = not kept.filter(F.col(enrolment).isNull()).isEmpty()
-    wide = entry_exit_table(source, "income", kept)
-    orders = [c for c in wide.columns if c.startswith(ORD)]
-    # The first row of the merged table: smallest entry position, exit-only rows after it.
-    place = F.struct(*[x for c in orders for x in (F.col(c).isNull(), F.col(c))])
-    wide = wide.withColumn(ORD, place).drop(*orders)
-    maxed = [c + ss for ss in (ENTRY, EXIT) for c in columns]
-    return widen.collapse_to_max(wide, enrolment, maxed, [ORD], null_keys=null_keys)
+    return widen.collapse_stages_to_max(
+        kept, spec.role("person_enrollment_ID"), spec.role("collection_stage_column"), _stages(spec), columns, ORD
+    )
 
 
 def get_project(source: Extracts, types: Mapping | str = PROJECT_TYPES) -> DataFrame:

@@ -16,7 +16,7 @@ QUICK = [
     "refused_filter", "stage_widen", "income_max", "type_stage_pivot", "destination_lookup", "project_lookup",
     "ssn_quality", "dob_quality", "sequential_ids", "resolve_time", "resolve_code", "dob_sanity", "modal_value",
     "assemble", "block_match", "date_compare", "time_co_occurrence", "household_types", "spell_history",
-    "merged_agencies",
+    "merged_agencies", "date_forms", "stage_widen_hot", "block_match_qgram", "block_match_cosine", "block_match_damerau",
 ]
 
 

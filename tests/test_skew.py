@@ -123,3 +123,36 @@ def test_spell_history_on_a_hot_person(tilted, monkeypatch):
     monkeypatch.setattr(skew, "MIN_HOT_ROWS", 0)
     assert rows(spell_history(spells, "ord")) == plain
     assert rows(covered_days(spells, ["linkage_PID"], "n", "ord", "entry", "exit")) == days
+
+
+@pytest.mark.parametrize("least", [0, 10**9])
+def test_widening_with_a_hot_key(spark, monkeypatch, least):
+    from hearthline.operators import skew, widen
+
+    data = [(1, "in", i) for i in range(60)] + [(None, "in", -1), (1, "out", 7), (2, "out", 8), (3, "in", 9), (None, "out", 5), (None, "out", 6), (4, None, 1)]
+    df = spark.createDataFrame(data, "k int, s string, m int")
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", least)
+    got = widen.split_rows_to_columns(df, "s", {"in": "_in", "out": "_out"}, "k")
+    want = [(1, i, 7) for i in range(60)] + [(2, None, 8), (3, 9, None), (None, -1, 5), (None, -1, 6)]
+    assert sorted(map(tuple, got.select("k", "m_in", "m_out").collect()), key=repr) == sorted(want, key=repr)
+    assert bool(skew.find_hot_keys(df.select("k"), ["k"])) == (least == 0)
+
+
+def test_collapsing_stages_equals_widening_first(spark):
+    from hearthline.operators import widen
+
+    data = [(k, s, o, m, t) for o, (k, s, m, t) in enumerate(
+        [(1, "in", 3, "a"), (1, "in", 5, "b"), (1, "out", 2, "c"), (2, "out", 4, None), (2, "out", None, "d"), (None, "in", 1, "e"), (None, "in", 9, "f"),
+         (None, "out", 6, None), (None, "out", 8, "g"), (3, None, 1, "h"), (4, "in", None, None)])]
+    df = spark.createDataFrame(data, "k int, s string, o int, m int, t string")
+    stages = {"in": "_in", "out": "_out"}
+    wide = widen.split_rows_to_columns(df, "s", stages, "k")
+    from pyspark.sql import functions as F
+
+    place = F.struct(*[x for c in ("o_in", "o_out") for x in (F.col(c).isNull(), F.col(c))])
+    wide = wide.withColumn("o", place).drop("o_in", "o_out")
+    want = widen.collapse_to_max(wide, "k", ["m_in", "m_out"], ["o"])
+    got = widen.collapse_stages_to_max(df, "k", "s", stages, ["m"], "o")
+    columns = ["k", "m_in", "m_out", "t_in", "t_out"]
+    assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(map(tuple, want.select(columns).collect()), key=repr)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
