@@ -106,22 +106,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int) -> tuple[np.n
 
 def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-    sample: int = 2_000, dims: int = 4_096, l2: float = 1e-4, steps: int = 300, seed: int = 7,
+    sample: int = 2_000, dims: int = 4_096, l2: float = 1e-4, steps: int = 300, seed: int = 7, most_languages: int = 256,
 ) -> LanguageModel:
     """Learn from a sample of about ``sample`` labelled rows, evenly over the languages.
 
     The sample is the documented bound of what reaches the driver (as features, not texts): rows
-    are drawn by a hash of ``key``, and at most twice ``sample`` are taken. Rows with null language
-    or without a letter teach nothing. ``dims`` must be a power of two.
+    are drawn by a hash of ``key``, and the first twice ``sample`` of them by that hash and the text
+    are taken. Of more than ``most_languages`` languages those with most rows are learned (ties: the
+    smaller name). Rows with null language or without a letter teach nothing; if no row of the sample
+    has a letter, the model knows no language. ``dims`` must be a power of two.
     """
     labelled = labelled.filter(F.col(lang).isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
-    languages = tuple(sorted(counts))
-    if not languages:
-        return LanguageModel((), np.zeros((0, 0), np.int8), np.zeros((0, dims)), np.zeros(0), np.zeros((0, 0)))
-    share = max(1, sample // len(languages))
-    rate = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, share / n))))
-    drawn = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) < rate[F.col(lang)] * (1 << 30)
+    counts = labelled.groupBy(F.col(lang).alias("__lang")).agg(F.count("*").alias("__n"))
+    rates = [(r[0], r[1]) for r in counts.orderBy(F.desc("__n"), "__lang").limit(most_languages).collect()]
+    nothing = LanguageModel((), np.zeros((0, 0), np.int8), np.zeros((0, dims)), np.zeros(0), np.zeros((0, 0)))
+    if not rates:
+        return nothing
+    share = max(1, sample // len(rates))
+    rate = F.create_map(*(F.lit(x) for k, n in rates for x in (k, min(1.0, share / n))))
+    at = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30))
+    drawn = F.coalesce(at < F.try_element_at(rate, F.col(lang)) * (1 << 30), F.lit(False))
 
     def featurise(column):
         folded = [folded_bytes(t) for t in column.to_pylist()]
@@ -130,11 +134,13 @@ def fit(
         return [pa.array([None if f is None else next(rows).tobytes() for f in folded], pa.binary())]
 
     rows = add_columns(
-        labelled.filter(drawn).select(F.col(lang).alias("lang"), F.col(text).alias("text")),
+        labelled.filter(drawn).select(F.col(lang).alias("lang"), F.col(text).alias("text"), at.alias("at")),
         ["text"], [T.StructField("features", T.BinaryType())], featurise,
-    ).drop("text").filter("features is not null").limit(2 * sample).collect()
+    ).drop("text").filter("features is not null").orderBy("at", "lang", "features").limit(2 * sample).collect()
     rows = sorted((r.lang, bytes(r.features)) for r in rows)
     languages = tuple(sorted({r[0] for r in rows}))
+    if not languages:
+        return nothing
     codes = codebook(len(languages))
     if len(languages) < 2:
         return LanguageModel(languages, codes, np.zeros((0, dims)), np.zeros(0), np.ones((len(languages), 0)))

@@ -22,6 +22,8 @@ LEVELS = (0.5, 0.35, 0.2, 0.1, 0.0)
 VECTORS, QUERIES = 8_192, 1_024
 #: A query goes on to exact scores once so many times k vectors, or fewer, can still be members.
 FEW = 8
+#: Scaled components are taken as this at most; scores beyond 64 bits as the largest or smallest of them.
+LARGEST, LONGEST = 2.0**56, (1 << 63) - 1
 
 
 class ImpactIndex:
@@ -38,6 +40,16 @@ class ImpactIndex:
             self.segments.append(np.where(inside, self.vectors, 0).astype(np.float64).T.copy())
             rest = np.where(size < lower, self.vectors, 0).astype(np.float64)
             self.left.append(np.sqrt((rest * rest).sum(axis=1)) * (1 + 1e-9))
+        whole = self.vectors.astype(np.float64)
+        # What the roundings of the scores can come to, besides.
+        self.rounding = np.sqrt((whole * whole).sum(axis=1)) * 1e-12 * max(1, vectors.shape[1])
+
+    def scores(self, members: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact inner products; those beyond 64 bits are the largest or smallest number of them."""
+        rows = self.vectors[members]
+        if np.abs(rows).max(initial=0).astype(float) * np.abs(query).max(initial=0).astype(float) * len(query) < 2.0**62:
+            return rows @ query
+        return np.clip(rows.astype(object) @ query.astype(object), -LONGEST, LONGEST).astype(np.int64)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, few: int = FEW) -> list[tuple[np.ndarray, np.ndarray]]:
         """For every query: ids and exact scores of its k best, by score and then id; ids equal to ``own`` are left out."""
@@ -47,16 +59,18 @@ class ImpactIndex:
         open_, score = np.arange(len(queries)), np.zeros((len(queries), n))
         for level, (segment, left) in enumerate(zip(self.segments, self.left)):
             score += q[open_] @ segment
-            slack = norm[open_, None] * left[None, :] + 1e-6
+            slack = norm[open_, None] * (left + self.rounding)[None, :] + 1e-6
             barred = self.ids[None, :] == own[open_, None]
-            lower = np.where(barred, -np.inf, score - slack)
+            # A score beyond 64 bits counts as the last number of them, for its bounds too.
+            lower = np.where(barred, -np.inf, np.clip(score - slack, -(2.0**63), 2.0**63))
             bar = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), -np.inf)
-            possible = (score + slack >= bar[:, None]) & ~barred
+            possible = (np.clip(score + slack, -(2.0**63), 2.0**63) >= bar[:, None]) & ~barred
             done = (possible.sum(axis=1) <= few * k) | (level == len(self.segments) - 1)
             for i in np.flatnonzero(done):
                 members = np.flatnonzero(possible[i])
-                exact = self.vectors[members] @ queries[open_[i]]
-                best = np.lexsort((self.ids[members], -exact))[:k]
+                exact = self.scores(members, queries[open_[i]])
+                # Members come by id, so a stable sort leaves ties in that order.
+                best = np.argsort(-exact, kind="stable")[:k]
                 out[open_[i]] = (self.ids[members][best], exact[best])
             open_, score = open_[~done], score[~done]
             if not len(open_):
@@ -65,9 +79,12 @@ class ImpactIndex:
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
-    """floor(scale * x) of every component; null for a vector that is null or holds a null or non-finite one."""
+    """floor(scale * x) of every component; null for a vector that is null or holds a null or non-finite one.
+
+    Components of 2^56 and more, after scaling, count as 2^56, those below -2^56 as -2^56.
+    """
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.when(finite, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int")))
+    return F.when(finite, F.transform(vector, lambda x: F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(LARGEST)), F.lit(-LARGEST)))))
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -80,11 +97,11 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, block_vectors: int = VECTORS, block_queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of every query.
 
-    ``vectors`` has vec_id and v, ``queries`` query_id and v (arrays of int; rows with a null in
+    ``vectors`` has vec_id and v, ``queries`` query_id and v (arrays of long; rows with a null in
     either column take no part). Vectors with the query's own id are no candidates. Ties go to the
     smaller vec_id, and a query with fewer candidates gets all. Of different lengths, the missing
     components count as 0. Repeated rows of an id are candidates each; equal query ids are ranked
-    together. Either table may be empty. ``block_*`` bound what one task holds.
+    together. A score beyond 64 bits counts as the largest long, or that with a minus. Either table may be empty. ``block_*`` bound what one task holds.
     """
     vectors = vectors.select("vec_id", "v").filter("vec_id is not null and v is not null")
     queries = queries.select("query_id", "v").filter("query_id is not null and v is not null")

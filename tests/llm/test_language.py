@@ -57,3 +57,17 @@ def test_held_out_accuracy(spark):
     rows = found.filter("held_out").collect()
     assert len(rows) > 250 and np.mean([r.lang == r.lang_pred for r in rows]) >= 0.98
     assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_samples_of_nothing_and_repeated_keys(spark):
+    schema = "doc_id long, text string, lang string"
+    silent = spark.createDataFrame([(i, t, "en") for i, t in enumerate(["", None, "123 !", " "])], schema)
+    assert L.fit(silent).languages == ()
+    # All rows of a key are drawn or none, so a key may leave the sample empty.
+    for key in range(6):
+        one = spark.createDataFrame([(key, f"some words {i}", "en") for i in range(50)], schema)
+        model = L.fit(one, sample=1)
+        assert model.languages in ((), ("en",))
+        assert L.predict(one, model).count() == 50
+    many = spark.createDataFrame([(i, f"word{i} text", f"l{i % 30:02}") for i in range(300)] + [(400, "more", "l07")], schema)
+    assert L.fit(many, sample=100, most_languages=3).languages == ("l00", "l01", "l07")

@@ -36,3 +36,19 @@ def test_top_k(spark):
         assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert T.top_k(vectors.limit(0), queries, 5).count() == 0 and T.top_k(vectors, queries.limit(0), 5).count() == 0
     assert T.top_k(vectors.filter("vec_id < 3"), queries, 5).groupBy("query_id").count().filter("count <> 3").count() == 0
+
+
+def test_large_components(spark):
+    values = [1e8, -1e8, 1e30, -1e30, 3.5e7, 1.0, 2.0**40, -(2.0**40) - 0.5, 0.0]
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.choice(values, 4).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = df.select("vec_id", T.quantised(F.col("embedding")).alias("v"))
+    whole = {i: [int(np.clip(np.floor(64 * x), -(2.0**56), 2.0**56)) for x in v] for i, v in rows}
+    assert {r.vec_id: r.v for r in vectors.collect()} == whole
+    got = {}
+    for r in T.top_k(vectors, vectors.filter("vec_id < 9").withColumnRenamed("vec_id", "query_id"), 7).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(9):
+        best = sorted((-max(min(sum(a * b for a, b in zip(whole[q], v)), 2**63 - 1), 1 - 2**63), i) for i, v in whole.items() if i != q)[:7]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
