@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     but texts without a letter.
     """
     model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))))
-    marked = language.predict(docs.withColumn("__text", F.col("text")), model, text="__text")
+    marked = language.predict(docs, model)
     told = (F.col("lang_pred") != language.UNDETERMINED) & ~F.col("ambiguous")
     if not model.languages:
         told = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
