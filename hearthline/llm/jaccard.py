@@ -13,7 +13,8 @@ within the radius of a pivot are linked to it, so they need not be compared with
    two radii; the members outside all balls share a cell. By the triangle inequality no link runs
    between members that share no cell. Cells whose members the links found so far connect are done,
    pivots have met all and leave, and the other cells are joined again, around new pivots.
-3. What has few open pairs is compared pair by pair; so is what is left after some rounds, block by block.
+3. Regions of few open pairs are compared in blocks of members: a task holds two blocks and gives only the pairs
+   that their histograms allow. So is what is left once the cells of a round are no smaller than its regions.
 4. Components of the links give the groups.
 
 Distances are measured exactly, on the sets of hashes, unless the sizes of two sets or their counts
@@ -46,10 +47,14 @@ FLUSH = 1_000_000
 BATCH = 1_000
 #: Rows of an Arrow batch that hold two sets each.
 SET_PAIRS = 128
-#: Pivots of a region after the first round; pairs of members that are few.
-PIVOTS, SMALL = 2, 20_000
-#: Rounds after which what is left is compared in blocks of members, and the members of a block.
-ROUNDS, BLOCK = 6, 512
+#: Pivots of a region after the first round.
+PIVOTS = 2
+#: Open pairs of a region that are few, as its blocks are compared in less time than a round takes.
+SMALL = 1_000_000
+#: Sets of more hashes have histograms that tell little: few open pairs are then that many fewer.
+LONG, FEWER = 4_096, 50
+#: Rounds after which what is left is compared in blocks of members, the members of a block, and rows that hold two blocks.
+ROUNDS, BLOCK, BLOCK_PAIRS = 6, 512, 16
 #: Cells of a set's histogram; a power of two.
 CELLS = 256
 _U = np.uint64
@@ -305,8 +310,8 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int, least: int) -> Dat
     return written(rows.mapInArrow(run, "a long, b long, hope boolean"), "jaccard-bounded", BATCH)
 
 
-def _measured(bounded: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, inter, either): exact sizes of intersection and union of the sets of the pairs that may link."""
+def _measured(hopeful: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, inter, either): exact sizes of intersection and union of the sets of the pairs (a, b)."""
 
     def run(batches):
         last, held = None, None
@@ -324,7 +329,6 @@ def _measured(bounded: DataFrame, sets: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "inter", "either"]
             )
 
-    hopeful = bounded.filter("hope").select("a", "b")
     # Only the sets that are needed travel.
     met = hopeful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = written(sets.join(met, "node", "left_semi").select("node", "hashes"), "jaccard-wanted")
@@ -337,28 +341,70 @@ def _measured(bounded: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _open_pairs(state: DataFrame, every: bool) -> DataFrame:
-    """(g, m, open, major): members, pairs not known to be connected, and the class of most members, by region."""
-    classes = state.groupBy("g", "cls").agg(F.count("*").alias("k"))
+    """(g, m, open, major, most): members, pairs not known to be connected, the class of most members, the largest set, by region."""
+    classes = state.groupBy("g", "cls").agg(F.count("*").alias("k"), F.max("n").alias("n"))
     same = F.lit(0) if every else F.when(F.col("cls").isNull(), 0).otherwise(F.expr("k * (k - 1) div 2"))
-    sums = classes.groupBy("g").agg(F.sum("k").alias("m"), F.sum(same).alias("same"), F.expr("max_by(cls, IF(cls IS NULL, 0, k))").alias("major"))
-    return sums.select("g", "m", F.expr("m * (m - 1) div 2 - same").alias("open"), F.lit(None).cast("long").alias("major") if every else "major")
+    sums = classes.groupBy("g").agg(
+        F.sum("k").alias("m"), F.sum(same).alias("same"), F.expr("max_by(cls, IF(cls IS NULL, 0, k))").alias("major"), F.max("n").alias("most")
+    )
+    major = F.lit(None).cast("long").alias("major") if every else "major"
+    return sums.select("g", "m", F.expr("m * (m - 1) div 2 - same").alias("open"), major, "most")
 
 
-def _apart(state: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
-    """(a, b): distinct pairs of members of a region whose sizes allow a link and that are not known to be connected.
+def _hopeful(state: DataFrame, regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): distinct pairs of members of a region that may link and are not known to be connected.
 
-    Members outside the largest class meet all others. Both are dealt into blocks, so that a task
-    pairs two blocks of bounded size.
+    Members outside the largest class meet all others. Both are dealt into blocks of bounded size and
+    packed, so that a row of the join holds two blocks and not a pair. Pairs are dropped whose sizes
+    or histograms keep them from linking; a set without a histogram is not judged by it.
     """
-    rows = state.join(regions, "g").withColumn("minor", F.coalesce(F.col("cls") != F.col("major"), F.lit(True)))
-    blocks = F.expr(f"int(ceil(m / {BLOCK}))")
-    rows = rows.withColumn("k", blocks).withColumn("at", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-    every = F.explode(F.expr("sequence(0, k - 1)"))
-    one = rows.filter("minor").select("g", F.col("at").alias("i"), every.alias("j"), "node", "n", "cls")
-    two = rows.select("g", every.alias("i"), F.col("at").alias("j"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("cls").alias("cb"), F.col("minor").alias("mb"))
-    sized = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
-    pairs = one.join(two, ["g", "i", "j"]).filter(f"node <> b AND (NOT mb OR node < b) AND NOT coalesce(cls = cb, false) AND {sized}")
-    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    hists = sets.select("node", "hist")
+    rows = state.join(regions, "g").join(hists, "node").withColumn("minor", F.coalesce(F.col("cls") != F.col("major"), F.lit(True)))
+    rows = rows.withColumn("k", F.expr(f"int(ceil(m / {BLOCK}))")).withColumn("at", F.pmod(F.xxhash64("node"), F.col("k")))
+    packed = F.collect_list(F.struct("node", "n", "cls", "minor", "hist"))
+    two = written(rows.groupBy("g", "at").agg(packed.alias("y"), F.max("minor").alias("any")), "jaccard-blocks")
+    # A block meets itself, the minor members of every other block meet it.
+    one = two.filter("any").select("g", F.expr("filter(y, r -> r.minor)").alias("x"))
+    pairs = one.join(two.select("g", "y"), "g").select("x", "y")
+
+    def unpacked(column, row):
+        held = column.slice(row, 1).flatten()
+        node, n, cls, minor, hist = (held.field(i) for i in range(5))
+        known = hist.is_valid().to_numpy(zero_copy_only=False)
+        cells = np.zeros((len(held), CELLS), np.uint8)
+        if known.any():
+            cells[known] = np.frombuffer(b"".join(hist.drop_null().to_pylist()), np.uint8).reshape(-1, CELLS)
+        # A member of no class is of a class of its own.
+        classed = cls.is_valid().to_numpy(zero_copy_only=False)
+        cls = cls.fill_null(0).to_numpy()
+        return node.to_numpy(), n.to_numpy().astype(np.int64), cls, classed, minor.to_numpy(zero_copy_only=False), known, cells
+
+    def run(batches):
+        for batch in batches:
+            a, b = [], []
+            for row in range(batch.num_rows):
+                node, n, cls, classed, _, known, cells = unpacked(batch.column(0), row)
+                node2, n2, cls2, classed2, minor2, known2, cells2 = unpacked(batch.column(1), row)
+                for i in range(len(node)):
+                    # Of two minor members each meets the other; one order is enough.
+                    open_ = (node2 != node[i]) & (~minor2 | (node2 > node[i])) & (100 * np.minimum(n2, n[i]) >= percent * np.maximum(n2, n[i]))
+                    if classed[i]:
+                        open_ &= ~classed2 | (cls2 != cls[i])
+                    at = np.flatnonzero(open_)
+                    if known[i] and len(at):
+                        most = np.minimum(cells2[at], cells[i]).sum(axis=1, dtype=np.int64)
+                        at = at[~known2[at] | (100 * most >= percent * (n2[at] + n[i] - most))]
+                    if len(at):
+                        a.append(np.minimum(node2[at], node[i]))
+                        b.append(np.maximum(node2[at], node[i]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    # The same pair may come from many regions.
+    found = written(pairs.mapInArrow(run, "a long, b long"), "jaccard-hopeful", BLOCK_PAIRS)
+    once = written(found.distinct(), "jaccard-hopeful")
+    discard(two, found)
+    return once
 
 
 def _links(regions: DataFrame, sets: DataFrame, percent: int, every: bool = False) -> DataFrame:
@@ -376,19 +422,24 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int, every: bool = Fals
     state = written(regions.join(central, "node").select("g", "node", "n", "weight", none.alias("cls")), "jaccard-state")
     links, turn = [sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)], 0
     union = lambda: functools.reduce(DataFrame.unionByName, links).distinct()
+    rows = None
     while not state.isEmpty():
         if turn:
             sizes = written(_open_pairs(state, every), "jaccard-sizes")
-            few = sizes if turn == ROUNDS else sizes.filter(F.col("open") <= SMALL)
-            bounded = _bounded(_apart(state, few, percent), sets, percent, percent)
-            links.append(_measured(bounded, sets).filter(linked).select("a", "b"))
-            discard(bounded)
-            if turn == ROUNDS:
+            # Cells that overlap so much that a round gains nothing would only grow from round to round.
+            before, rows = rows, state.count()
+            last = turn == ROUNDS or (before is not None and rows >= before)
+            few = sizes if last else sizes.filter(F.col("open") <= F.when(F.col("most") > LONG, SMALL // FEWER).otherwise(SMALL))
+            hopeful = _hopeful(state, few, sets, percent)
+            links.append(_measured(hopeful, sets).filter(linked).select("a", "b"))
+            discard(hopeful)
+            if last:
                 break
             larger = written(state.join(few, "g", "left_anti"), "jaccard-state")
             discard(state, sizes)
             state = larger
-            if state.isEmpty():
+            rows = state.count()
+            if not rows:
                 break
         # The most central member of each of a few hash classes: never a whole region in one array.
         each = F.pmod(F.xxhash64("node"), F.lit(PIVOTS if turn else 1))
@@ -405,7 +456,7 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int, every: bool = Fals
         met = met.filter(sized)
         pairs = met.select(F.col("node").alias("a"), "b").unionByName(between.filter(sized).select("a", "b")).distinct()
         bounded = _bounded(pairs, sets, percent, least)
-        found = _measured(bounded, sets)
+        found = _measured(bounded.filter("hope").select("a", "b"), sets)
         links.append(found.filter(linked).select("a", "b"))
         if turn:
             # What the histograms put out of reach is out of the cell. The members outside all balls share a cell.
