@@ -110,21 +110,30 @@ def _shingles(words: str) -> str:
     return f"list_transform(range(1, len({words}) - {SHINGLE - 2}), lambda i: array_to_string({words}[i : i + {SHINGLE - 1}], ' '))"
 
 
+_REACH = 2 * SEGMENT - SHINGLE
+
 LICENSE_SQL = rf"""
 WITH t AS (
   SELECT license, list_filter(string_split_regex(lower(body), '{_NOT_WORD}'), lambda x: x <> '') AS w
   FROM (VALUES {", ".join(f"({_texts(x)})" for x in TEMPLATES)}) v(license, body)
 ), ts AS (
-  SELECT license, list_distinct({_shingles("w")}) AS template, (SELECT max(len(w)) FROM t) AS longest FROM t
+  SELECT row_number() OVER () AS tid, license, list_distinct({_shingles("w")}) AS template, (SELECT max(len(w)) FROM t) AS longest FROM t
 ), d AS (
   SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '{_NOT_WORD}'), lambda x: x <> '') AS w FROM documents
 ), ds AS (
   SELECT doc_id, {_shingles("w")} AS s FROM d
+), placed AS (
+  SELECT doc_id, unnest(s) AS g, unnest(range(1, len(s) + 1)) AS i FROM ds
+), met AS (
+  SELECT doc_id, tid, i, g FROM placed JOIN (SELECT tid, unnest(template) AS g FROM ts) x USING (g)
 ), win AS (
-  SELECT doc_id, s, unnest(range(0, len(s), {SEGMENT})) AS pos FROM ds
+  SELECT DISTINCT doc_id, tid, unnest(range((greatest(i - {_REACH + 1}, 0) + {SEGMENT - 1}) // {SEGMENT} * {SEGMENT}, i, {SEGMENT})) AS pos FROM met
+), span AS (
+  SELECT doc_id, tid, license, pos, len(template) AS size, greatest(pos + 1 - longest, 1) AS low, longest FROM win JOIN ts USING (tid)
 ), hit AS (
-  SELECT doc_id, license, len(list_intersect(template, list_slice(s, greatest(pos + 1 - longest, 1), greatest(pos + 1 - longest, 1) + {2 * SEGMENT - SHINGLE} + 2 * longest))) / len(template) AS c
-  FROM win, ts WHERE list_has_any(list_slice(s, pos + 1, pos + {2 * SEGMENT - SHINGLE + 1}), template)
+  SELECT span.doc_id, license, count(DISTINCT g) / any_value(size) AS c
+  FROM span JOIN met ON met.doc_id = span.doc_id AND met.tid = span.tid AND i BETWEEN low AND low + {_REACH} + 2 * longest
+  GROUP BY span.doc_id, span.tid, license, pos
 ), best AS (
   SELECT doc_id, license, max(c) AS c FROM hit WHERE c >= 0.8 GROUP BY doc_id, license
 ), found AS (
