@@ -23,6 +23,7 @@ MIN_HOT_ROWS = 200_000
 MIN_PAIR_ROWS = 2_000
 SALT = "__salt"
 RANGE = "__range"
+REPEATED = "__repeated"
 
 
 def parts_of(df: DataFrame) -> int:
@@ -170,6 +171,31 @@ def join_values(
     return joined.select(*kept)
 
 
+def deal_larger_side(left: DataFrame, right: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a piece number: rows of a hot key are dealt on the side that has
+    more of them and repeated for every piece on the other, where ``REPEATED`` marks them.
+    """
+    keys = list(hot.keys)
+    counted = [
+        side.filter(hot.holds()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        .select(*keys, (F.col("__n") * sign).alias("__n"))
+        for side, sign in ((left, 1), (right, -1))
+    ]
+    # At most one row per hot key (or key with a hot one's hash), and the same for both sides.
+    more = materialise(
+        counted[0].unionByName(counted[1]).groupBy(*keys).agg((F.sum("__n") >= 0).alias("__left"))
+    )
+
+    def dealt(side: DataFrame, larger: Column) -> DataFrame:
+        placed = join_small(side.withColumn("__piece", _row_salt(side, hot)), more, keys)
+        piece, pieces = F.array("__piece"), F.when(larger, F.array("__piece")).otherwise(hot.every())
+        placed = placed.withColumn(REPEATED, F.coalesce(~larger, F.lit(False)))
+        placed = placed.withColumn(SALT, F.explode(F.when(F.col("__left").isNull(), piece).otherwise(pieces)))
+        return placed.drop("__piece", "__left")
+
+    return dealt(left, F.col("__left")), dealt(right, ~F.col("__left"))
+
+
 def with_group_values(
     df: DataFrame,
     keys: Sequence[str],

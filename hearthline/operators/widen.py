@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import keep_first
-from .skew import HotKeys, find_hot_keys, join_values
+from .skew import REPEATED, SALT, HotKeys, deal_larger_side, find_hot_keys
 
 
 def drop_stages(df: DataFrame, stage: str, values: Sequence) -> DataFrame:
@@ -55,18 +55,22 @@ def split_rows_to_columns(
     hot = find_hot_keys(df.select(*keys), keys) if hot is None else hot
 
     def outer(left: DataFrame, right: DataFrame) -> DataFrame:
+        on = keys
         if hot:
-            both = join_values(left, right, keys, "left", hot)
-            alone = join_values(right, left.select(*keys).distinct(), keys, "left_anti", hot)
-            return both.unionByName(alone, allowMissingColumns=True)
-        on = reduce(
-            lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+            left, right = deal_larger_side(left, right, hot)
+            on = [*keys, SALT]
+        same = reduce(
+            lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in on]
         )
-        joined = left.alias("l").join(right.alias("r"), on, "full_outer")
+        joined = left.alias("l").join(right.alias("r"), same, "full_outer")
+        if hot:
+            # A repeated row meets its partners in some pieces only; alone in the others it is no result.
+            alone = [F.col(f"{x}.{REPEATED}") & F.col(f"{y}.{REPEATED}").isNull() for x, y in ("lr", "rl")]
+            joined = joined.filter(~F.coalesce(alone[0] | alone[1], F.lit(False)))
         # A key is null on the side that has no row; where both have one they are equal.
         merged = [F.coalesce(f"l.{k}", f"r.{k}").alias(k) for k in keys]
-        rest = [f"l.{c}" for c in left.columns if c not in keys]
-        rest += [f"r.{c}" for c in right.columns if c not in keys]
+        rest = [f"l.{c}" for c in left.columns if c not in (*on, REPEATED)]
+        rest += [f"r.{c}" for c in right.columns if c not in (*on, REPEATED)]
         return joined.select(*merged, *rest)
 
     return reduce(outer, parts)

@@ -156,3 +156,20 @@ def test_collapsing_stages_equals_widening_first(spark):
     columns = ["k", "m_in", "m_out", "t_in", "t_out"]
     assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(map(tuple, want.select(columns).collect()), key=repr)
     assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+
+
+def test_the_larger_side_of_a_hot_key_is_dealt(spark, monkeypatch):
+    """The category that sorts later holds the hot key's rows; they are not repeated for every piece."""
+    from hearthline.operators import skew, widen
+
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 0)
+    few = spark.createDataFrame([(1, -1), (2, -2), (None, -3)], "k int, m int")
+    many = spark.createDataFrame([(1, i) for i in range(300)] + [(3, 0), (None, 1)], "k int, n int")
+    hot = skew.find_hot_keys(many, ["k"])
+    left, right = skew.deal_larger_side(few, many, hot)
+    assert right.count() == 302 and left.count() == 2 + max(hot.pieces)
+    data = [(k, "a", m) for k, m in map(tuple, few.collect())] + [(k, "b", n) for k, n in map(tuple, many.collect())]
+    df = spark.createDataFrame(data, "k int, s string, m int")
+    got = widen.split_rows_to_columns(df, "s", {"a": "_a", "b": "_b"}, "k", hot).select("k", "m_a", "m_b")
+    want = [(1, -1, i) for i in range(300)] + [(2, -2, None), (3, None, 0), (None, -3, 1)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
