@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.closeness import pairs_of_cells
 from . import skew
 from .components import connected_components
-from .skew import SALT, HotKeys, find_hot_keys, join_values, number_rows
+from .skew import SALT, HotKeys, find_hot_keys, join_values, number_rows, parts_of, repeated
 
 # Microseconds per time unit.
 UNIT_MICROS = {
@@ -48,7 +51,7 @@ def _pairs(members: DataFrame, probes: DataFrame, key: str, condition: Column) -
     else:
         on = [key]
     same = reduce(lambda x, y: x & y, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on])
-    joined = members.alias("l").join(probes.alias("r"), same & condition)
+    joined = members.alias("l").join(repeated(probes, hot).alias("r"), same & condition)
     return joined.select(
         F.least("l.who", "r.who").alias("a"), F.greatest("l.who", "r.who").alias("b")
     )
@@ -93,33 +96,44 @@ def time_co_occurrence(
     counts once. Null times never match.
     """
     delta = _micros(time_delta, time_unit)
-    found = []
+    points = []
     for i, name in enumerate(times):
-        points = df.select(F.col(individual).alias("who"), _time_number(df, name).alias("t")).filter(
+        rows = df.select(F.col(individual).alias("who"), _time_number(df, name).alias("t")).filter(
             "who is not null and t is not null"
         )
-        if delta == 0:
-            keyed = points.withColumnRenamed("t", "slot").distinct()
-            pairs = _pairs(keyed, keyed, "slot", F.col("l.who") < F.col("r.who"))
-        else:
+        if delta > 0:
             # Slots are as wide as delta: within one all are close, and between neighbours the
             # later side's first time and the earlier side's last decide. So an individual
-            # needs one row per slot, however many times it has there.
-            home = F.floor(F.col("t") / F.lit(delta)).cast("bigint")
-            slotted = points.groupBy("who", home.alias("home")).agg(
-                F.min("t").alias("first"), F.max("t").alias("last")
-            )
-            members = slotted.withColumn("slot", F.col("home"))
-            probes = slotted.withColumn(
-                "slot", F.explode(F.array(F.col("home"), F.col("home") + 1))
-            )
-            near = F.col("l.first") - F.col("r.last") <= delta
-            beside = (F.col("l.home") != F.col("r.home")) & near & (F.col("l.who") != F.col("r.who"))
-            within = (F.col("l.home") == F.col("r.home")) & (F.col("l.who") < F.col("r.who"))
-            pairs = _pairs(members, probes, "slot", beside | within)
-        found.append(pairs.distinct().withColumn("var", F.lit(i)))
-    together = reduce(lambda x, y: x.unionByName(y), found)
-    return together.groupBy("a", "b").agg(F.count("*").alias("n"))
+            # needs two points per slot, however many times it has there.
+            ends = F.array_distinct(F.array(F.min("t"), F.max("t"))).alias("t")
+            slot = F.floor(F.col("t") / F.lit(delta)).cast("bigint").alias("slot")
+            rows = rows.groupBy("who", slot).agg(ends).select("who", F.explode("t").alias("t"))
+        else:
+            rows = rows.distinct()
+        points.append(rows.withColumn("var", F.lit(i)))
+    return _close_pairs(reduce(DataFrame.unionByName, points), delta)
+
+
+def _close_pairs(points: DataFrame, delta: int) -> DataFrame:
+    """Columns a < b and ``n`` of the points ``who``, ``t``, ``var`` at most ``delta`` apart.
+
+    Individuals fall to groups by their hash, and two groups (or one with itself) make a cell. A point is
+    sent to every cell of its group, so what is shuffled grows with the points; the pairs of two
+    individuals are all found in one cell, so none of them is shuffled.
+    """
+    parts = parts_of(points)
+    groups = math.isqrt(2 * parts - 1) + 1  # about as many cells as parts
+    own = F.pmod(F.xxhash64("who"), F.lit(groups)).cast("int")
+    sent = points.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    cell = (F.least("own", "met") * groups + F.greatest("own", "met")).alias("cell")
+    sent = sent.select(cell, (F.col("own") > F.col("met")).alias("second"), "who", "t", "var")
+    kind = points.schema["who"].dataType
+    schema = StructType().add("x", kind).add("y", kind).add("n", "long")
+    found = (
+        sent.repartition(parts, "cell").sortWithinPartitions("cell")
+        .mapInArrow(pairs_of_cells(delta, groups), schema)
+    )
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n")
 
 
 def _group_stars(nodes: DataFrame, key: Column) -> DataFrame:

@@ -161,3 +161,26 @@ def test_households(spark):
     got = rows(add_household_clusters(df).distinct(), "linkage_PID", "hh_id", "h_cluster", "h_cluster_ct")
     assert got == [(None, "C", None, None), (1, "A", 1, 3), (2, "A", 1, 3), (2, "B", 1, 3), (3, "B", 1, 3),
                    (4, "C", 2, 1), (5, None, None, None)]
+
+
+def test_close_times_are_found_without_shuffling_pairs(spark, monkeypatch):
+    """Everyone meets everyone at two times: the pairs are many, and none of them is sorted or shuffled."""
+    from hearthline.functions import closeness
+
+    monkeypatch.setattr(closeness, "HELD_PAIRS", 50)
+    rng = random.Random(9)
+    data = [(f"p{i % 40}", rng.randrange(-300, 300), rng.choice([None, 7, 8, 20])) for i in range(160)] + [(None, 1, 1)]
+    df = spark.createDataFrame(data, "p string, t long, u long")
+    for delta in (0, 3):
+        got = time_co_occurrence(df, "p", ["t", "u"], "us", delta)
+        want = {}
+        for column in (1, 2):
+            close = {
+                (a[0], b[0]) for a, b in itertools.product(data, data)
+                if None not in (a[0], b[0], a[column], b[column]) and a[0] < b[0] and abs(a[column] - b[column]) <= delta
+            }
+            for pair in close:
+                want[pair] = want.get(pair, 0) + 1
+        assert pairs_of(got) == want and got.count() == len(want)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("MapInArrow")]
