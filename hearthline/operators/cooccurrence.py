@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from ..functions.closeness import pairs_of_cells
 from . import skew
 from .components import connected_components
-from .skew import SALT, HotKeys, find_hot_keys, join_values, number_rows, parts_of, repeated
+from .skew import SALT, HotKeys, find_hot_keys, join_values, number_rows, parts_of
 
 # Microseconds per time unit.
 UNIT_MICROS = {
@@ -50,8 +50,12 @@ def _pairs(members: DataFrame, probes: DataFrame, key: str, condition: Column) -
         on = [key, SALT]
     else:
         on = [key]
+    # The keys stay dealt over all parts: AQE would unite partitions by the size of their rows, which
+    # says little of their pairs.
+    parts = parts_of(members)
+    members, probes = members.repartition(parts, *on), probes.repartition(parts, *on).hint("merge")
     same = reduce(lambda x, y: x & y, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on])
-    joined = members.alias("l").join(repeated(probes, hot).alias("r"), same & condition)
+    joined = members.alias("l").join(probes.alias("r"), same & condition)
     return joined.select(
         F.least("l.who", "r.who").alias("a"), F.greatest("l.who", "r.who").alias("b")
     )

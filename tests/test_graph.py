@@ -184,3 +184,16 @@ def test_close_times_are_found_without_shuffling_pairs(spark, monkeypatch):
         assert pairs_of(got) == want and got.count() == len(want)
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan[: plan.index("MapInArrow")]
+
+
+def test_pairs_of_groups_are_made_in_as_many_tasks_as_parts(spark):
+    df = spark.range(400).select((F.col("id") % 50).alias("i"), (F.col("id") % 23).alias("g"))
+    got = groups_co_occurrence(df, "i", "g")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "Broadcast" not in plan
+    data = sorted({(r["i"], r["g"]) for r in df.collect()})
+    want = {}
+    for (a, g), (b, h) in itertools.product(data, data):
+        if a < b and g == h:
+            want[a, b] = want.get((a, b), 0) + 1
+    assert pairs_of(got) == want
