@@ -35,8 +35,8 @@ from .pretokens import CachedEncoder, byte_letters
 
 #: Distinct pairs that are held by every task, with about 25 bytes each.
 MOST_PAIRS = 4_000_000
-#: Distinct segments that a task remembers, bytes of ids or characters taken at once, links listed at once.
-KEPT, AT_ONCE, LINKS = 400_000, 2_000_000, 2_000_000
+#: Distinct segments that a task remembers, characters encoded at once, bytes of ids aligned at once, links listed at once.
+KEPT, AT_ONCE, ALIGNED, LINKS = 400_000, 2_000_000, 1_000_000, 2_000_000
 #: Counts in a block of a vector, and vectors summed by one task of the tree.
 BLOCK, FAN = 1 << 16, 16
 SEGMENT = re.compile(r" +[^ \n]*|\n[^ \n]*")
@@ -190,6 +190,7 @@ class _Aligned:
         sizes = _lengths(path_a, path_b)
         kind = "<u2" if max(map(len, sizes)) <= 1 << 16 else "<u4"
         self.n = len(a)
+        self.ids = max(map(len, sizes))
         ids, doc, ends = [], [], []
         for column, size in zip((a, b), sizes):
             blobs = column.to_pylist()
@@ -241,27 +242,32 @@ class _Aligned:
 
     def written(self) -> list[str]:
         """The groups of every text as a string."""
-        size = len(_marked()) // 3
+        marked = _marked(self.ids)
+        size = self.ids
         names = np.zeros(len(self.a) + len(self.b), np.int64)
         before = [np.cumsum(x) for x in self.in_group]
         # Before a token of A stand the groups before its own; before one of B also A's tokens of its group. A comma
         # follows a token; a bar the last one of A in a group, a semicolon the last one of B.
         names[np.arange(len(self.a)) + (before[1] - self.in_group[1])[self.group[0]]] = self.a + size * self.last[0]
         names[np.arange(len(self.b)) + before[0][self.group[1]]] = self.b + 2 * size * self.last[1]
-        names = list(map(_marked().__getitem__, names.tolist()))
+        names = list(map(marked.__getitem__, names.tolist()))
         edges = np.cumsum(np.bincount(np.concatenate([self.doc_a, self.doc_b]), minlength=self.n))
         return ["".join(names[a:b])[:-1] for a, b in zip([0, *edges.tolist()], edges.tolist())]
 
 
 @functools.lru_cache(maxsize=1)
-def _marked() -> list[str]:
-    """Decimal ids, followed by each of the three marks."""
-    return [f"{i}{mark}" for mark in ",|;" for i in range(1 << BITS)]
+def _marked(ids: int) -> list[str]:
+    """Decimal ids below ``ids``, followed by each of the three marks."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(ids)]
 
 
 def _runs(path_a: str, path_b: str, batches, column: int):
-    """(part of a batch, its aligned texts); the ids of A are in ``column``, those of B in the next one."""
-    for part in text_slices(batches, column, AT_ONCE):
+    """(part of a batch, its aligned texts); the ids of A are in ``column``, those of B in the next one.
+
+    A worker that encoded before still holds both encoders and what they remember, which no later pass needs.
+    """
+    _encoders.cache_clear()
+    for part in text_slices(batches, column, ALIGNED):
         yield part, _Aligned(part.column(column), part.column(column + 1), path_a, path_b)
 
 

@@ -4,6 +4,7 @@ import hashlib
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -146,3 +147,14 @@ def test_perfect_hash(spark, count, bucket):
 def test_perfect_hash_refuses_repeats(spark):
     with pytest.raises(Exception, match="repeated"):
         mphf.build(spark.createDataFrame([(1,), (1,)], "k long"), 2)
+
+
+def test_later_passes_hold_no_encoders(library):
+    """What the encoders remember is let go before the ids are aligned, and names are made for known ids only."""
+    own, other = alignment._encoders(A, B)
+    ids, _ = other.encode(["two words"])
+    a = np.concatenate(own.encode([" two words"])).astype("<u2").tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([a]), pa.array([ids[0].astype("<u2").tobytes()])], names=["__a", "__b"])
+    texts = [t for _, t in alignment._runs(A, B, [batch], 0)]
+    assert texts[0].written()[0] and alignment._encoders.cache_info().currsize == 0
+    assert len(alignment._marked(texts[0].ids)) < 3 << alignment.BITS
