@@ -21,6 +21,8 @@ from ..session import materialise
 # number is for joins that pair the rows of a key with each other.
 MIN_HOT_ROWS = 200_000
 MIN_PAIR_ROWS = 2_000
+# About so many wide rows a task, where it sorts them several times.
+ROWS_PER_TASK = 25_000
 SALT = "__salt"
 RANGE = "__range"
 REPEATED = "__repeated"
@@ -45,13 +47,14 @@ class HotKeys:
     parts: int
     hashes: tuple[int, ...] = field(default=())
     pieces: tuple[int, ...] = field(default=())
+    rows: int = 0  # counted in the pass that looked for them
 
     def __bool__(self) -> bool:
         return bool(self.hashes)
 
     def on(self, *keys: str) -> HotKeys:
         """The same key values under other column names of the same types."""
-        return HotKeys(keys, self.parts, self.hashes, self.pieces)
+        return HotKeys(keys, self.parts, self.hashes, self.pieces, self.rows)
 
     def hash(self) -> Column:
         return F.xxhash64(*[F.col(k) for k in self.keys])
@@ -87,6 +90,18 @@ def pieces_for(count: int, rows: int, parts: int) -> int:
     return 1 << max(1, (-(-count * parts // rows) - 1).bit_length())
 
 
+def dealt_by_size(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """Rows dealt by their keys over as many tasks as hold about ``ROWS_PER_TASK`` each.
+
+    For a chain of sorts on the same keys, each of which holds a task's rows: AQE unites partitions by
+    their compressed bytes, so that a task's memory would grow with the table. With hot keys nothing is
+    done, as their groups are cut into ranges.
+    """
+    if hot:
+        return df
+    return df.repartition(-(-hot.rows // ROWS_PER_TASK) or 1, *hot.keys)
+
+
 def no_hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """For data known to be too small to have hot keys."""
     return HotKeys(tuple(keys), parts_of(df))
@@ -120,7 +135,7 @@ def find_hot_key_sets(
             if e["count"] * parts > top["n"] and e["count"] >= least
         ]
         found.append(
-            HotKeys(tuple(keys), parts, tuple(h for h, _ in hot), tuple(n for _, n in hot))
+            HotKeys(tuple(keys), parts, tuple(h for h, _ in hot), tuple(n for _, n in hot), top["n"])
         )
     return found
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if3
-from .skew import HotKeys, OrderedGroups, find_hot_keys, with_group_values
+from .skew import HotKeys, OrderedGroups, dealt_by_size, find_hot_keys, with_group_values
 
 FIRST_ENTRY = "2004-01-01"
 CUT_OFF = "2017-12-31"
@@ -138,6 +138,7 @@ def spell_history(
 ) -> DataFrame:
     """All spell columns; needs agency, hmis_proj_type, entry, exit and a unique ``order``."""
     hot = find_hot_keys(df, [person])
+    df = dealt_by_size(df, hot)
     df = spell_bounds(impute_exits(df, order, person, cut_off, hot=hot))
     df = covered_days(df, [person, "agency"], "h_agency_time", order)
     df = covered_days(df, [person], "h_tot_time", order, hot=hot)

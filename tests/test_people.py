@@ -19,6 +19,7 @@ from hearthline.functions.nulls import if3, paste
 from hearthline.operators.household import age_at_entry, describe_households, family_role
 from hearthline.operators.identity import frequent_or_odd_dates, with_sequential_id
 from hearthline.operators.reconcile import modal_values
+from hearthline.operators import skew
 from hearthline.operators.spells import covered_days, impute_exits, spell_history
 from hearthline.plans.agencies import merge_agencies, prelink
 from hearthline.plans.housing import housing_table
@@ -269,3 +270,16 @@ def test_spell_history(spark):
         (1, "SHA", 365, 0, 364, 396, "SHA to HMIS", -305, True, True),
         (2, "SHA", None, 1, 0, 0, "SHA", None, None, None),
         (2, "SHA", 1, 0, 0, 0, "SHA to SHA", None, None, None)]
+
+
+def test_tasks_of_spells_grow_with_the_rows(spark, monkeypatch):
+    """A task sorts about ROWS_PER_TASK rows, however well they compress."""
+    df = spark.range(400).select(
+        F.col("id").alias("ord"), (F.col("id") % 100).alias("linkage_PID"), F.lit("SHA").alias("agency"),
+        F.lit("x").alias("hmis_proj_type"), F.date_add(F.lit("2010-01-01").cast("date"), F.col("id").cast("int")).alias("entry"),
+    ).withColumn("exit", F.date_add("entry", 9))
+    whole = spell_history(df, "ord")
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20, raising=False)
+    dealt = spell_history(df, "ord")
+    assert dealt.rdd.getNumPartitions() == 20 and whole.rdd.getNumPartitions() == 1
+    assert dealt.exceptAll(whole).isEmpty() and dealt.count() == 400
