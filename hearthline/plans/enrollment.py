@@ -58,7 +58,8 @@ def enrollment_table(source: Extracts, groups: bool = True) -> DataFrame:
     spec = source.spec("enrollment")
     spec.require("groupID_column", "person_enrollment_ID", "person_ID", "program_ID", "entry_date")
     df = source.read("enrollment", spec)
-    return group_rows(df, spec.role("groupID_column")) if groups else df
+    # Fixed, as its groups are read for hot keys and for rows: the files are read once.
+    return group_rows(materialise(df), spec.role("groupID_column")) if groups else df
 
 
 def group_rows(df: DataFrame, group: str) -> DataFrame:
@@ -95,7 +96,7 @@ def client_table(source: Extracts, name_exclusion: bool = False) -> DataFrame:
             warnings.warn(f"the client specification has no {key} columns")
     final_keys = tuple(spec.duplicate_check_columns or ())
     keys = tuple(dict.fromkeys([*final_keys, *spec.time_var, *flags, *codes, person]))
-    df = source.read("client", spec.with_dedup_columns(keys))
+    df = materialise(source.read("client", spec.with_dedup_columns(keys)))  # read for hot keys and for rows
     times = [c for c in spec.time_var if c != dob]
     df = resolve_person_values(df, person, times, flags, codes)
     df = keep_last(df, final_keys, [ORD])
@@ -214,6 +215,7 @@ def merge_tables(
     df = merge_on(enrollments, get_exit(source), enrolment, exits, hot=hot_enrolment)
     settled = settle_dob(source, clients, enrollments).drop(ORD)
     df = merge_on(df, settled, person, source.spec("client").role("person_ID"), "right", hot_person)
+    df = materialise(df)  # the joins so far are read for hot keys and for rows
     # Clients without an enrolment have null keys, which may be many.
     hot_enrolment, hot_program = find_hot_key_sets(df, [[enrolment], [program]])
     for table, read in (

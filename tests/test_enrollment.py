@@ -2,9 +2,10 @@ import pytest
 from helpers import day, moment, rows
 from pyspark.sql import functions as F
 
-from hearthline.operators import widen
+from hearthline.operators import skew, widen
 from hearthline.operators.lookup import merge_destination, merge_project_type
 from hearthline.operators.reconcile import resolve_person_values
+from hearthline.plans import enrollment
 from hearthline.plans.enrollment import (
     Extracts,
     get_client,
@@ -315,3 +316,19 @@ def test_stage_counts(spark, folders):
     assert dict(rows(stage_counts(source, groups=False))) == {
         "enrollment": 5, "exit": 5, "client": 9, "bad_dob": 2, "disabilities": 5,
         "employment_education": 5, "health_dv": 5, "income": 5, "project": 3}
+
+
+def test_files_are_not_read_again_for_hot_keys(spark, folders, monkeypatch):
+    """The tables that hot keys are looked for in are fixed before, as their rows are read again."""
+    source = Extracts(spark, data_dir=folders({"all": MERGE_FILES}), paths=["all"], specs=MERGE_SPECS)
+    find, plans = skew.find_hot_key_sets, []
+
+    def looked(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return find(df, *args)
+
+    for module in (skew, enrollment):
+        monkeypatch.setattr(module, "find_hot_key_sets", looked)
+    for groups in (False, True):
+        merge_tables(source, groups=groups)
+    assert plans and not [p for p in plans if "csv" in p or "Join" in p and "__first" not in p]
