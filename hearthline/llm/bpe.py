@@ -57,6 +57,12 @@ def _compiled(pattern: str):
     return regex.compile(pattern)
 
 
+def _let_go() -> None:
+    """A process between tasks holds no vocabulary; the next task reads it again in a tenth of a second."""
+    _encoding.cache_clear()
+    _bytes_of.cache_clear()
+
+
 def _id_lists(texts: list[str | None], path: str, pattern: str, check: bool) -> list[pa.Array]:
     """The texts' ids and, if asked for, whether the bytes of the ids are those of the text."""
     encode = _encoding(path, pattern).encode_ordinary
@@ -150,7 +156,7 @@ def _encode_long(long_texts: DataFrame, path: str, pattern: str, step: int, over
         .agg(F.min("no").alias("first"), F.array_sort(F.collect_list(F.struct("no", "part"))).alias("parts"))
         .select("key", "first", F.array_join(F.col("parts.part"), "").alias("text"))
     )
-    encoded = add_columns(pieces, ["text"], _new(check), lambda t: _id_lists(t.to_pylist(), path, pattern, check))
+    encoded = add_columns(pieces, ["text"], _new(check), lambda t: _id_lists(t.to_pylist(), path, pattern, check), _let_go)
     ids = F.flatten(F.array_sort(F.collect_list(F.struct("first", "ids"))).getField("ids")).alias("ids")
     return encoded.groupBy("key").agg(ids, *([F.bool_and("round_trip").alias("round_trip")] if check else []))
 
@@ -174,7 +180,7 @@ def encode(
     new = [f.name for f in _new(check)]
     docs = docs.drop(*(c for c in new if c != text))
     is_long = F.coalesce(F.length(text) > chunk, F.lit(False))
-    whole = add_columns(docs.filter(~is_long), [text], _new(check), lambda t: _id_lists(t.to_pylist(), path, pattern, check))
+    whole = add_columns(docs.filter(~is_long), [text], _new(check), lambda t: _id_lists(t.to_pylist(), path, pattern, check), _let_go)
     key = F.sha2(F.col(text), 256)
     texts = docs.filter(is_long).select(key.alias("key"), F.col(text).alias("text")).dropDuplicates(["key"])
     coded = _encode_long(texts, path, pattern, chunk, overlap, check)
@@ -196,7 +202,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
         rows = (x.as_py() for x in column)
         return [pa.array([None if r is None else _joined(r, path) for r in rows], pa.binary())]
 
-    return add_columns(docs, [ids], [T.StructField(out, T.BinaryType())], join)
+    return add_columns(docs, [ids], [T.StructField(out, T.BinaryType())], join, _let_go)
 
 
 def op2_byte_bpe(spark, sf_dir) -> DataFrame:

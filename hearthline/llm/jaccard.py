@@ -250,6 +250,7 @@ def _seed_regions(docs: DataFrame, text: str, seed: int, percent: int, parts: in
 
     blobs = docs.select(F.col(text).alias("text")).mapInArrow(send, "part int, blob binary").repartition(parts // 4, "part")
     every = written(blobs.mapInArrow(group, "g long, node long, n int, held long, h0 long, h1 long"), "jaccard-seeds", BATCH)
+    shared.destroy()
     once = every.groupBy("held", "h0", "h1").agg(F.min("g").alias("g")).select("g")
     regions = written(every.join(once, "g", "left_semi").select("g", "node", "n", "held"), "jaccard-regions")
     discard(every)
@@ -507,8 +508,7 @@ def similarity_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break
     else:
         raise RuntimeError("set digests clash for every seed")
-    parts, common = _common(docs, text, seed)
-    regions = _seed_regions(docs, text, seed, percent, parts, common)
+    regions = _seed_regions(docs, text, seed, percent, *_common(docs, text, seed))
     sets = _sets(docs, nodes, regions.select("node").distinct(), text, seed)
     links = _links(regions, sets, percent, count_links)
     components = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))

@@ -73,6 +73,21 @@ def features(rows: list[bytes], dims: int) -> np.ndarray:
     return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
 
 
+def packed(row: np.ndarray) -> bytes:
+    """A bit for every cell, then the values that are not 0."""
+    used = row != 0
+    return np.packbits(used).tobytes() + row[used].tobytes()
+
+
+def unpacked(rows: list[bytes], dims: int, kind: type) -> np.ndarray:
+    """The float16 rows that were packed, as ``kind``."""
+    out, bits = np.zeros((len(rows), dims), kind), -(-dims // 8)
+    for to, row in zip(out, rows):
+        used = np.unpackbits(np.frombuffer(row, np.uint8, bits), count=dims).view(bool)
+        to[used] = np.frombuffer(row[bits:], np.float16)
+    return out
+
+
 def codebook(n: int, seed: int = 7) -> np.ndarray:
     """Codewords for n languages: all splits for up to 6, else random ones with the widest least distance."""
     if n <= 6:
@@ -110,7 +125,7 @@ def fit(
 ) -> LanguageModel:
     """Learn from a sample of about ``sample`` labelled rows, evenly over the languages.
 
-    The sample is the documented bound of what reaches the driver (as features, not texts): rows
+    The sample is the documented bound of what reaches the driver (as packed features, not texts): rows
     are drawn by a hash of ``key``, and the first twice ``sample`` of them by that hash and the text
     are taken. Of more than ``most_languages`` languages those with most rows are learned (ties: the
     smaller name). Rows with null language or without a letter teach nothing; if no row of the sample
@@ -131,21 +146,22 @@ def fit(
         folded = [folded_bytes(t) for t in column.to_pylist()]
         known = [f for f in folded if f is not None]
         rows = iter(features(known, dims).astype(np.float16) if known else ())
-        return [pa.array([None if f is None else next(rows).tobytes() for f in folded], pa.binary())]
+        return [pa.array([None if f is None else packed(next(rows)) for f in folded], pa.binary())]
 
     rows = add_columns(
         labelled.filter(drawn).select(F.col(lang).alias("lang"), F.col(text).alias("text"), at.alias("at")),
         ["text"], [T.StructField("features", T.BinaryType())], featurise,
     ).drop("text").filter("features is not null").orderBy("at", "lang", "features").limit(2 * sample).collect()
-    rows = sorted((r.lang, bytes(r.features)) for r in rows)
-    languages = tuple(sorted({r[0] for r in rows}))
+    languages = tuple(sorted({r.lang for r in rows}))
     if not languages:
         return nothing
     codes = codebook(len(languages))
     if len(languages) < 2:
         return LanguageModel(languages, codes, np.zeros((0, dims)), np.zeros(0), np.ones((len(languages), 0)))
-    x = np.frombuffer(b"".join(f for _, f in rows), np.float16).reshape(-1, dims).astype(np.float32)
-    at = np.array([languages.index(k) for k, _ in rows])
+    at = np.array([languages.index(r.lang) for r in rows])
+    # By language, then by the bytes of the features: the sums of the regression depend on the order.
+    order = np.lexsort((unpacked([r.features for r in rows], dims, np.float16).view(f"S{2 * dims}")[:, 0], at))
+    x, at = unpacked([rows[i].features for i in order], dims, np.float32), at[order]
     y = codes[at].astype(np.float32)
     w, b = _logistic(x, y, l2, steps)
     right = (x @ w.T + b) * y > 0

@@ -3,6 +3,7 @@
 import hashlib
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -53,3 +54,15 @@ def test_query(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(given[r.doc_id].encode()).hexdigest()
+
+
+def test_no_vocabulary_stays_behind_a_task(spark):
+    def held(batches):
+        for _ in batches:
+            sizes = [bpe._encoding.cache_info().currsize + bpe._bytes_of.cache_info().currsize]
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], names=["n"])
+
+    docs = spark.createDataFrame([(i, WORDY) for i in range(16)], "doc_id long, text string").repartition(8)
+    coded = bpe.encode(docs, PATH, P.PATTERN, check=True)
+    assert coded.filter("round_trip").count() == 16
+    assert {r.n for r in spark.range(64).repartition(64).mapInArrow(held, "n long").collect()} == {0}

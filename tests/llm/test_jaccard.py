@@ -1,9 +1,11 @@
 """Groups against brute force on texts made to sit near the limit."""
 
+import os
 import random
 import re
 
 import pytest
+from pyspark import SparkContext
 
 from hearthline.llm import jaccard as J
 from hearthline.llm import shingles as S
@@ -135,3 +137,18 @@ def test_words_that_polynomial_hashes_mix_up():
         assert S.word_hashes(text, 0) != S.word_hashes(text, 1)
     assert len({int(S.word_hashes(t)[0]) for t in (word, other, word * 2, other * 2)}) == 4
     assert S.word_hashes(f"{word} x {word}")[0] == S.word_hashes(f"x {word}")[1]
+
+
+def test_the_broadcast_of_common_shingles_is_given_up(spark, monkeypatch):
+    made, make = [], SparkContext.broadcast
+
+    def kept(sc, value):
+        made.append(make(sc, value))
+        return made[-1]
+
+    monkeypatch.setattr(SparkContext, "broadcast", kept)
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(i, f"{text} {i % 2}") for i in range(6)], "doc_id long, text string")
+    groups = J.similarity_groups(docs, percent=50)
+    assert made and not any(os.path.exists(b._path) for b in made)
+    assert [r.component_id for r in groups.collect()] == [0] * 6

@@ -51,6 +51,32 @@ def test_edge_rows(spark):
     assert {r.lang_pred for r in L.predict(docs, one).collect()} == {"und", "en"}
 
 
+def test_the_sample_reaches_the_driver_packed(spark, monkeypatch):
+    rows = [(i, f"{'der hund' if i % 2 else 'the cat'} {i} {'und ' * (i % 7)}", "de" if i % 2 else "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sent, collect = [], type(docs).collect
+
+    def spy(df):
+        found = collect(df)
+        sent.extend(bytes(r.features) for r in found if "features" in df.columns)
+        return found
+
+    monkeypatch.setattr(type(docs), "collect", spy)
+    model = L.fit(docs, dims=4_096)
+    assert len(sent) == 60 and max(map(len, sent)) < 2_048  # 8,192 if every cell came
+    plain = sorted((k, L.features([L.folded_bytes(t)], 4_096).astype(np.float16).tobytes()) for _, t, k in rows)
+    x = np.frombuffer(b"".join(f for _, f in plain), np.float16).reshape(-1, 4_096).astype(np.float32)
+    y = model.codes[[model.languages.index(k) for k, _ in plain]].astype(np.float32)
+    w, b = L._logistic(x, y, 1e-4, 300)
+    assert np.array_equal(model.weights, w) and np.array_equal(model.bias, b)
+
+
+@pytest.mark.parametrize("dims", [4, 64, 4_096])
+def test_packed_rows_come_back(dims):
+    x = np.where(np.random.default_rng(1).random((50, dims)) < 0.2, np.random.default_rng(2).random((50, dims)), 0).astype(np.float16)
+    assert np.array_equal(L.unpacked([L.packed(r) for r in x], dims, np.float32), x.astype(np.float32))
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     found = L.op1_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
